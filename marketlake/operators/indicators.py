@@ -216,7 +216,7 @@ def _finish(df: DataFrame, series: Series) -> DataFrame:
         }
     )
     df = df.withColumn("macd", F.col("ema12") - F.col("_slow"))
-    named = profile_of_window(df, "_window")
+    named = profile_of_window(df.drop("_closes", "_slow"), "_window")
     filled = {n: F.coalesce(F.nanvl(F.col(n), F.lit(None)), F.lit(0.0)) for n in INDICATORS}
     return named.withColumns(filled).select(
         series.tiebreak, series.ts, series.symbol, *INDICATORS

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -179,62 +181,81 @@ def _mids(df: DataFrame) -> DataFrame:
     )
 
 
+def _rounded_rows(x: np.ndarray, decimals: int) -> np.ndarray:
+    """The rounding of :func:`_rounded` on arrays."""
+    with np.errstate(divide="ignore"):
+        digits = -np.floor(np.log10(np.abs(x))) - 1 + decimals
+    scale = np.power(10.0, np.where((np.abs(x) < 1) & (x != 0), digits, decimals))
+    return np.rint(x * scale) / scale
+
+
+def window_profiles(
+    closes: list[np.ndarray], volumes: list[np.ndarray], bins: int, hi: float, lo: float
+) -> pd.DataFrame:
+    """Point of control and value area of many short windows at once."""
+    n = len(closes)
+    sizes = np.array([len(c) for c in closes])
+    price, amount = np.concatenate(closes), np.nan_to_num(np.concatenate(volumes))
+    starts = np.r_[0, np.cumsum(sizes)[:-1]]
+    row = np.repeat(np.arange(n), sizes)
+    low, high = np.minimum.reduceat(price, starts), np.maximum.reduceat(price, starts)
+
+    flat = low == high
+    pad = np.where(flat, np.where(low != 0, WIDEN * np.abs(low), WIDEN), 0.0)
+    start, stop = low - pad, high + pad
+    edges = np.arange(bins + 1) * ((stop - start) / bins)[:, None] + start[:, None]
+    edges[:, bins] = stop
+    edges[:, 0] = np.where(flat, start, start - WIDEN * (high - low))
+
+    # Volume per window and bin, then the bins of each window from the largest volume down.
+    cell = row * bins + (edges[row] < price[:, None]).sum(axis=1) - 1
+    held = np.bincount(cell, minlength=n * bins).reshape(n, bins) > 0
+    volume = np.bincount(cell, weights=amount, minlength=n * bins).reshape(n, bins)
+    ranked = np.argsort(np.where(held, -volume, np.inf), axis=1, kind="stable")
+    running = np.cumsum(np.take_along_axis(volume, ranked, axis=1), axis=1)
+    with np.errstate(divide="ignore", invalid="ignore"):
+        share = running / running[:, -1:]
+    occupied = np.take_along_axis(held, ranked, axis=1)
+    highest = np.where(occupied & (share <= hi), ranked, -1).max(axis=1)
+    lowest = np.where(occupied & (share <= lo), ranked, bins).min(axis=1)
+
+    shown = _rounded_rows(edges, DECIMALS)
+    alike = np.flatnonzero((np.diff(np.sort(shown, axis=1), axis=1) == 0).any(axis=1))
+    for decimals in range(DECIMALS + 1, MOST_DECIMALS + 1):
+        if len(alike) == 0:
+            break
+        finer = _rounded_rows(edges[alike], decimals)
+        apart = (np.diff(np.sort(finer, axis=1), axis=1) > 0).all(axis=1)
+        shown[alike[apart]] = finer[apart]
+        alike = alike[~apart]
+
+    def mid(bin: np.ndarray, known: np.ndarray) -> np.ndarray:
+        at = np.arange(n), np.where(known, bin, 0)
+        return np.where(known, 0.5 * (shown[at] + shown[at[0], at[1] + 1]), 0.0)
+
+    return pd.DataFrame(
+        {
+            "va_high": mid(highest, highest >= 0),
+            "va_low": mid(lowest, lowest < bins),
+            "poc": mid(ranked[:, 0], np.ones(n, dtype=bool)),
+        }
+    )
+
+
 def profile_of_window(
     df: DataFrame, window: str, bins: int = BINS, hi: float = HIGH_SHARE, lo: float = LOW_SHARE
 ) -> DataFrame:
     """Adds ``va_high``, ``va_low`` and ``poc`` of a short array of (close, volume) structs.
 
-    Array functions instead of exploding every row into its window: no shuffle,
-    and each row needs its own window only.
+    Every row carries its own window, so there is no shuffle. Array functions can
+    say this too, but run it value by value: they took about 600 microseconds a
+    row where whole Arrow batches take a few.
     """
-    keep = df.columns
-    closes = F.transform(window, lambda r: r["close"])
-    df = df.withColumn("edges", bin_edges(F.array_min(closes), F.array_max(closes), bins))
-    df = df.withColumn(
-        "_binned",
-        F.transform(
-            window,
-            lambda r: F.struct(
-                bin_number(r["close"], F.col("edges"), bins).alias("bin"),
-                F.coalesce(r["volume"], F.lit(0.0)).alias("volume"),
-            ),
-        ),
-    )
 
-    def bin_volume(number: Column) -> Column:
-        members = F.filter("_binned", lambda b: b["bin"] == number)
-        return F.aggregate(members, F.lit(0.0), lambda acc, b: acc + b["volume"])
-
-    # Sorted by volume from the largest, then by bin.
-    df = df.withColumn(
-        "_ranked",
-        F.array_sort(
-            F.transform(
-                F.array_distinct(F.transform("_binned", lambda b: b["bin"])),
-                lambda n: F.struct((-bin_volume(n)).alias("minus"), n.alias("bin")),
-            )
-        ),
-    )
-    total = F.aggregate("_ranked", F.lit(0.0), lambda acc, b: acc - b["minus"])
-    df = df.withColumn("_total", total)
-
-    def step(acc: Column, b: Column) -> Column:
-        running = acc["running"] - b["minus"]
-        share = F.try_divide(running, F.col("_total"))
-        return F.struct(
-            running.alias("running"),
-            F.when(share <= hi, F.greatest(acc["high"], b["bin"])).otherwise(acc["high"]).alias("high"),
-            F.when(share <= lo, F.least(acc["low"], b["bin"])).otherwise(acc["low"]).alias("low"),
-        )
-
-    nothing = F.lit(None).cast("int")
-    start = F.struct(F.lit(0.0).alias("running"), nothing.alias("high"), nothing.alias("low"))
-    df = df.withColumn("_area", F.aggregate("_ranked", start, step)).withColumns(
-        {
-            "_p": edge_decimals(F.col("edges")),
-            "_high": F.col("_area.high"),
-            "_low": F.col("_area.low"),
-            "_poc": F.get("_ranked", F.lit(0))["bin"],
-        }
-    )
-    return _mids(df).select(*keep, "va_high", "va_low", "poc")
+    @F.pandas_udf("va_high double, va_low double, poc double")
+    def profiles(closes: pd.Series, volumes: pd.Series) -> pd.DataFrame:
+        return window_profiles(closes.tolist(), volumes.tolist(), bins, hi, lo)
+
+    keep = df.columns
+    area = profiles(F.col(f"{window}.close"), F.col(f"{window}.volume"))
+    return df.withColumn("_area", area).select(*keep, "_area.va_high", "_area.va_low", "_area.poc")

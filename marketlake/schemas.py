@@ -12,6 +12,7 @@ from pyspark.sql.types import (
     DoubleType,
     IntegerType,
     LongType,
+    MapType,
     StringType,
     StructField,
     StructType,
@@ -40,20 +41,13 @@ PARTITION_COLUMNS = ("year", "month", "day", "hour")
 _PARTS = ", year int, month int, day int, hour int"
 
 # --- wire messages -----------------------------------------------------------
-# Prices travel as decimal strings, times as epoch milliseconds.
+# Prices travel as decimal strings, times as epoch milliseconds. The candle is read
+# as a map, since it has keys that differ by case only.
 KLINE_MESSAGE = StructType(
     [
         StructField("e", StringType()),
         StructField("s", StringType()),
-        StructField("result", StringType()),
-        StructField("id", LongType()),
-        StructField(
-            "k",
-            table(
-                "t long, T long, i string, o string, c string, h string, l string,"
-                " v string, q string, x boolean"
-            ),
-        ),
+        StructField("k", MapType(StringType(), StringType())),
     ]
 )
 CANDLE = table(

@@ -30,27 +30,26 @@ def symbol_name_lookup(symbol: Column | str, names: dict[str, str] = SYMBOL_NAME
 
 def kline_closed_parse(messages: DataFrame, value: str = "value", names=SYMBOL_NAMES) -> DataFrame:
     """Closed candles among exchange messages; acknowledgements and open candles are left out."""
-    k = "_m.k"
+    text = F.col(value).cast("string")
+
+    def k(key: str) -> Column:
+        return F.col("_m.k")[key]
+
     return (
-        messages.withColumn("_m", F.from_json(F.col(value).cast("string"), KLINE_MESSAGE))
-        .where(
-            F.get_json_object(F.col(value).cast("string"), "$.result").isNull()
-            & ~F.coalesce(F.col(value).cast("string").rlike(r'^\s*\{\s*"result"\s*:'), F.lit(False))
-            & (F.col("_m.e") == "kline")
-            & F.col(f"{k}.x")
-        )
+        messages.withColumn("_m", F.from_json(text, KLINE_MESSAGE))
+        .where(~text.contains('"result"') & (F.col("_m.e") == "kline") & (k("x") == "true"))
         .select(
             F.col("_m.s").alias("symbol"),
             symbol_name_lookup("_m.s", names).alias("name"),
-            F.col(f"{k}.i").alias("interval"),
-            F.col(f"{k}.t").alias("starttime"),
-            F.col(f"{k}.T").alias("endtime"),
-            F.col(f"{k}.v").alias("volume"),
-            F.col(f"{k}.q").alias("quotevolume"),
-            F.col(f"{k}.o").alias("open"),
-            F.col(f"{k}.c").alias("close"),
-            F.col(f"{k}.h").alias("highest"),
-            F.col(f"{k}.l").alias("lowest"),
+            k("i").alias("interval"),
+            k("t").cast("long").alias("starttime"),
+            k("T").cast("long").alias("endtime"),
+            k("v").alias("volume"),
+            k("q").alias("quotevolume"),
+            k("o").alias("open"),
+            k("c").alias("close"),
+            k("h").alias("highest"),
+            k("l").alias("lowest"),
             F.lit(CANDLE_TAG).alias("tag"),
         )
     )
