@@ -78,10 +78,15 @@ def page_title(html: Column | str) -> Column:
     return F.nullif(_tidy(unescape(F.regexp_replace(found, TAG_PATTERN, ""))), F.lit(""))
 
 
-def search_or_query(text: Column | str, terms=ECONOMY_TERMS) -> Column:
-    """True where any of the words occurs, in any case."""
+def word_pattern(terms) -> str:
+    """Any of the terms between characters that are no letters or digits of any script."""
     words = "|".join(re.escape(t) for t in terms)
-    return column(text).rlike(rf"(?i)\b({words})\b")
+    return rf"(?i)(?:^|[^\p{{L}}\p{{N}}_])(?:{words})(?:$|[^\p{{L}}\p{{N}}_])"
+
+
+def search_or_query(text: Column | str, terms=ECONOMY_TERMS) -> Column:
+    """True where any of the words occurs on its own, in any case."""
+    return column(text).rlike(word_pattern(terms))
 
 
 def json_get(text: Column | str, schema) -> Column:

@@ -10,6 +10,7 @@ from ..operators.indicators import indicator_series
 from ..operators.sentiment import sentiment_labels
 from ..plans import gold, quality_jobs
 from ..plans.silver import to_silver
+from ..runtime import durable
 from ..schemas import PARTITION_COLUMNS
 from .base import (
     COINS_SQL,
@@ -67,7 +68,8 @@ def _(spark, sf):
 def raw_indicators(spark, sf):
     """Indicators and labels as the extract writes them; labels of oversold candles are missing."""
     iso = F.date_format("endtime", "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'")
-    series = indicator_series(bars(spark, sf), MINUTES)
+    # Indicators and labels come from the same rows, computed once.
+    series = durable(indicator_series(bars(spark, sf), MINUTES))
     labeled = sentiment_labels(series)
     symbol = F.concat(F.upper("symbol"), F.lit("USDT"))
     stat = series.withColumns({"id": F.col("event_id"), "endtime": iso, "symbol": symbol})

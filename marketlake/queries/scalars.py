@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import numbers, text, times
-from .base import COMMENTS_SQL, FIRST_EPOCH, NEWS_SQL, comments, load, news, query
+from .base import COMMENTS_SQL, NEWS_SQL, comments, load, news, query
 
 
 def parts_sql(ts: str) -> str:
@@ -151,15 +151,18 @@ def _(spark, sf):
     )
 
 
-@query("search_or_query", r"""
-  SELECT doc_id, source, regexp_matches(text, '(?i)\b(economy|inflation|finance)\b') AS economy,
-         regexp_matches(text, '(?i)\b(that|nicht|mente)\b') AS common FROM documents""")
+COMMON = ("that", "nicht", "mente")
+
+
+@query("search_or_query", f"""
+  SELECT doc_id, source, regexp_matches(text, '{text.word_pattern(text.ECONOMY_TERMS)}') AS economy,
+         regexp_matches(text, '{text.word_pattern(COMMON)}') AS common FROM documents""")
 def _(spark, sf):
     return load(spark, sf, "documents").select(
         "doc_id",
         "source",
         text.search_or_query("text").alias("economy"),
-        text.search_or_query("text", ("that", "nicht", "mente")).alias("common"),
+        text.search_or_query("text", COMMON).alias("common"),
     )
 
 
@@ -174,8 +177,8 @@ def _(spark, sf):
     )
 
 
-@query("ingest_time", f"""
-  SELECT doc_id, make_timestamp({FIRST_EPOCH} * 1000000) AS ingested, 2024 AS year, 1 AS month, 1 AS day, 0 AS hour
+@query("ingest_time", """
+  SELECT doc_id, TIMESTAMP '2024-01-01 00:00:00' AS ingested, 2024 AS year, 1 AS month, 1 AS day, 0 AS hour
   FROM documents""")
 def _(spark, sf):
     at = times.ingest_time("2024-01-01 00:00:00")
