@@ -34,14 +34,32 @@ INDICATOR_NUMBERS = (
 
 @dataclass(frozen=True)
 class Checked:
-    """What a quality job gives. Frames are lazy: only what is used gets computed."""
+    """What a quality job gives: rows that keep the contract, rejected rows, and reports on demand."""
 
     clean: DataFrame
     rejected: DataFrame
-    raw_profile: DataFrame
-    clean_profile: DataFrame
-    duplicates: DataFrame | None = None
-    dates: DataFrame | None = None
+    raw: DataFrame
+    filled: DataFrame
+    unique: DataFrame
+    key: str | None = None
+    order: str | None = None
+    time: str | None = None
+
+    def raw_profile(self) -> DataFrame:
+        """NULLs, blanks and bounds of the records as they came."""
+        return profile(self.raw, distinct=False)
+
+    def clean_profile(self) -> DataFrame:
+        """The same, and the different values, once blank and repeated records are gone."""
+        return profile(self.unique)
+
+    def duplicates(self) -> DataFrame:
+        """The repeated records that were left out."""
+        return duplicate_report(self.filled, [self.key], [self.order])
+
+    def dates(self) -> DataFrame:
+        """First and last time of the records."""
+        return date_bounds(self.unique, as_instant(self.unique, self.time))
 
 
 def news_quality(raw: DataFrame, contract: Contract = NEWS_CONTRACT) -> Checked:
@@ -49,14 +67,7 @@ def news_quality(raw: DataFrame, contract: Contract = NEWS_CONTRACT) -> Checked:
     filled = one_author(nonblank_filter(raw, ["text", "published"]))
     unique = dedup_keep_first(filled, ["url"], ["title"])
     clean, rejected = schema_contract_check(unique, contract)
-    return Checked(
-        clean=clean,
-        rejected=rejected,
-        raw_profile=profile(raw, distinct=False),
-        clean_profile=profile(unique),
-        duplicates=duplicate_report(filled, ["url"], ["title"]),
-        dates=date_bounds(unique, as_instant(unique, "published")),
-    )
+    return Checked(clean, rejected, raw, filled, unique, "url", "title", "published")
 
 
 def comments_quality(raw: DataFrame, contract: Contract = COMMENTS_CONTRACT) -> Checked:
@@ -65,14 +76,7 @@ def comments_quality(raw: DataFrame, contract: Contract = COMMENTS_CONTRACT) ->
     unique = dedup_keep_first(filled, ["id"], ["created_utc"])
     types = {"score": "double", "created_utc": "double", "num_comments": "int"}
     clean, rejected = schema_contract_check(cast_columns(unique, types), contract)
-    return Checked(
-        clean=clean,
-        rejected=rejected,
-        raw_profile=profile(raw, distinct=False),
-        clean_profile=profile(unique),
-        duplicates=duplicate_report(filled, ["id"], ["created_utc"]),
-        dates=date_bounds(unique, as_instant(unique, "created_utc")),
-    )
+    return Checked(clean, rejected, raw, filled, unique, "id", "created_utc", "created_utc")
 
 
 def realtime_quality(raw: DataFrame, contract: Contract = REALTIME_CONTRACT) -> Checked:
@@ -81,7 +85,7 @@ def realtime_quality(raw: DataFrame, contract: Contract = REALTIME_CONTRACT) ->
         rename_columns(raw, {"event_id": "realtime_id"}), {p: "double" for p in PRICES}
     )
     clean, rejected = schema_contract_check(typed, contract)
-    return Checked(clean, rejected, profile(raw, distinct=False), profile(typed, distinct=False))
+    return Checked(clean, rejected, raw, typed, typed, "realtime_id", "endtime", "endtime")
 
 
 def stat_sent_quality(
@@ -96,9 +100,7 @@ def stat_sent_quality(
         complete = dropna_any(rename_columns(raw, {"event_id": "realtime_id"}))
         typed = cast_columns(complete, {n: "double" for n in numbers})
         clean, rejected = schema_contract_check(typed, contract)
-        return Checked(
-            clean, rejected, profile(raw, distinct=False), profile(typed, distinct=False)
-        )
+        return Checked(clean, rejected, raw, complete, typed, "realtime_id", "endtime", "endtime")
 
     return (
         check(stat, INDICATOR_NUMBERS, stat_contract),
