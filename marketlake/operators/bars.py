@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # The intervals of a multi-timeframe view, in seconds.
@@ -24,59 +24,69 @@ def kline_resample(
     interval. One aggregation with partial results before the shuffle: a hot
     symbol costs no more than its number of bars.
     """
-    order = F.struct(ts, tiebreak)
-    amount = F.col(price) * F.col(qty)
-    return (
-        ticks.groupBy(F.col(symbol).alias("symbol"), F.window(ts, f"{INTERVALS[every]} seconds"))
-        .agg(
-            F.max_by(tiebreak, order).alias("event_id"),
-            F.min_by(price, order).alias("open"),
-            F.max(price).alias("highest"),
-            F.min(price).alias("lowest"),
-            F.max_by(price, order).alias("close"),
-            F.sum(qty).alias("volume"),
-            F.sum(amount).alias("quotevolume"),
-        )
-        .select(
-            "event_id",
-            "symbol",
-            F.lit(every).alias("interval"),
-            F.col("window.start").alias("starttime"),
-            F.col("window.end").alias("endtime"),
-            "open",
-            "highest",
-            "lowest",
-            "close",
-            "volume",
-            "quotevolume",
-        )
+    tick = F.struct(F.col(ts), F.col(tiebreak).alias("id"), F.col(price).alias("price"))
+    grouped, start = _by_interval(ticks, symbol, ts, every)
+    return grouped.agg(
+        F.min(tick).alias("_first"),
+        F.max(tick).alias("_last"),
+        F.max(price).alias("highest"),
+        F.min(price).alias("lowest"),
+        F.sum(qty).alias("volume"),
+        F.sum(F.col(price) * F.col(qty)).alias("quotevolume"),
+    ).select(
+        F.col("_last.id").alias("event_id"),
+        "symbol",
+        F.lit(every).alias("interval"),
+        start.alias("starttime"),
+        (start + _length(every)).alias("endtime"),
+        F.col("_first.price").alias("open"),
+        "highest",
+        "lowest",
+        F.col("_last.price").alias("close"),
+        "volume",
+        "quotevolume",
     )
 
 
+def _length(every: str) -> Column:
+    return F.make_dt_interval(secs=F.lit(INTERVALS[every]))
+
+
+def _by_interval(df: DataFrame, symbol: str, ts: str, every: str):
+    """Rows grouped by symbol and interval, and the column with the start of the interval.
+
+    Streams must group by the window itself, which carries the watermark. Batches
+    group by its start alone, a plain number to hash and sort.
+    """
+    window = F.window(ts, f"{INTERVALS[every]} seconds")
+    named = F.col(symbol).alias("symbol")
+    if df.isStreaming:
+        return df.groupBy(named, window), F.col("window.start")
+    started = df.withColumn("_start", window.start)
+    return started.groupBy(named, "_start"), F.col("_start")
+
+
 def kline_rollup(bars: DataFrame, every: str) -> DataFrame:
     """Longer bars from shorter ones of :func:`kline_resample`; equal to bars from the ticks."""
-    return (
-        bars.groupBy("symbol", F.window("starttime", f"{INTERVALS[every]} seconds"))
-        .agg(
-            F.max_by("event_id", "starttime").alias("event_id"),
-            F.min_by("open", "starttime").alias("open"),
-            F.max("highest").alias("highest"),
-            F.min("lowest").alias("lowest"),
-            F.max_by("close", "starttime").alias("close"),
-            F.sum("volume").alias("volume"),
-            F.sum("quotevolume").alias("quotevolume"),
-        )
-        .select(
-            "event_id",
-            "symbol",
-            F.lit(every).alias("interval"),
-            F.col("window.start").alias("starttime"),
-            F.col("window.end").alias("endtime"),
-            "open",
-            "highest",
-            "lowest",
-            "close",
-            "volume",
-            "quotevolume",
-        )
+    grouped, start = _by_interval(bars, "symbol", "starttime", every)
+    return grouped.agg(
+        F.max_by("event_id", "starttime").alias("event_id"),
+        F.min_by("open", "starttime").alias("open"),
+        F.max("highest").alias("highest"),
+        F.min("lowest").alias("lowest"),
+        F.max_by("close", "starttime").alias("close"),
+        F.sum("volume").alias("volume"),
+        F.sum("quotevolume").alias("quotevolume"),
+    ).select(
+        "event_id",
+        "symbol",
+        F.lit(every).alias("interval"),
+        start.alias("starttime"),
+        (start + _length(every)).alias("endtime"),
+        "open",
+        "highest",
+        "lowest",
+        "close",
+        "volume",
+        "quotevolume",
     )
