@@ -89,19 +89,5 @@ def with_row_halo(df: DataFrame, series: Series, rows: int) -> DataFrame:
     )
 
 
-def with_time_halo(df: DataFrame, series: Series, seconds: int) -> DataFrame:
-    """Slices of the history, each with the rows of the ``seconds`` before it marked as halo."""
-    if seconds > series.slice_seconds:
-        raise ValueError("a slice must be at least as long as its halo")
-    width = series.slice_seconds * 1_000_000
-    micros = F.unix_micros(F.col(series.ts).cast("timestamp"))
-    own = series.slice_number()
-    needed_later = micros >= (own + 1) * F.lit(width) - F.lit(seconds * 1_000_000)
-    targets = F.when(needed_later, F.array(own, own + 1)).otherwise(F.array(own))
-    return df.select("*", F.posexplode(targets).alias("_step", SLICE)).select(
-        *df.columns, SLICE, (F.col("_step") == 1).alias(HALO)
-    )
-
-
 def without_halo(df: DataFrame) -> DataFrame:
     return df.where(~F.col(HALO)).drop(SLICE, HALO)

@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .slices import CANDLES, DAY_SECONDS, SLICE, Series, with_time_halo, without_halo
+from .slices import CANDLES, DAY_SECONDS, Series
 from .topk import latest_per_symbol
 
 # Newest candles shown per symbol, and the age at which a maximum expires.
@@ -202,17 +202,32 @@ def update_from_join(
     return max_cache_upsert(touched, known, close, ts)
 
 
-def rolling_max_24h(
-    df: DataFrame,
-    series: Series = Series(slice_seconds=16 * DAY_SECONDS),
-    close: str = "close",
-) -> DataFrame:
-    """Highest close of the 24 hours up to and including every candle."""
-    sliced = with_time_halo(df, series, DAY_SECONDS)
-    micros = F.unix_micros(F.col(series.ts).cast("timestamp"))
-    frame = (
-        Window.partitionBy(series.symbol, SLICE)
-        .orderBy(micros)
-        .rangeBetween(-DAY_MICROS, Window.currentRow)
+def rolling_max_24h(df: DataFrame, series: Series = CANDLES, close: str = "close") -> DataFrame:
+    """Highest close of the 24 hours up to and including every candle, both ends included.
+
+    A frame of 24 hours holds up to 86,400 candles, too many to go through for
+    every row. Instead each candle looks at two running maxima: of its own day up
+    to itself, and of the day before from the same time of day on. For the second
+    one every candle is also sent to the next day, as an elder. The work is two
+    sorts per symbol and day, however dense the candles are.
+    """
+    symbol, ts = series.symbol, series.ts
+    micros = F.unix_micros(F.col(ts).cast("timestamp"))
+    day = F.floor(micros / F.lit(DAY_MICROS)).cast("long")
+    twice = df.withColumns({"_time": micros - day * DAY_MICROS, "_own": day}).select(
+        "*", F.explode(F.array(F.col("_own"), F.col("_own") + 1)).alias("_day")
+    )
+    elder = F.col("_day") > F.col("_own")
+    # Frames without bounds but the current row include all rows of the same time.
+    by_day = Window.partitionBy(symbol, "_day")
+    earlier = by_day.orderBy(F.col("_time").asc())
+    later = by_day.orderBy(F.col("_time").desc())
+    today = F.max(F.when(~elder, F.col(close))).over(earlier)
+    yesterday = F.max(F.when(elder, F.col(close))).over(later)
+    return (
+        twice.withColumn("_today", today)
+        .withColumn("_yesterday", yesterday)
+        .where(~elder)
+        .withColumn("max_24h", F.greatest("_today", "_yesterday"))
+        .select(*df.columns, "max_24h")
     )
-    return without_halo(sliced.withColumn("max_24h", F.max(close).over(frame)))
