@@ -182,7 +182,8 @@ def divergence(df: DataFrame, lookback: int = 14, series: Series = CANDLES) -> D
     """``bearish`` where the close exceeds its last ``lookback`` peaks while RSI or MACD does not.
 
     ``bullish`` is the same for lows. The look-back is our parameter: the
-    definition only asks for a period long enough to see a pattern.
+    definition only asks for a period long enough to see a pattern. Indicators
+    are compared at six decimals, so that rounding noise makes no peak.
     """
     halo = with_row_halo(df, series, lookback + WINDOW - 1)
     halo = _add_rsi(_add_delta(halo, series), series, RSI, "rsi10").drop("price_delta")
@@ -190,7 +191,7 @@ def divergence(df: DataFrame, lookback: int = 14, series: Series = CANDLES) -> D
     before = series.window().rowsBetween(-lookback, -1)
     close = _price("close")
     marks = {}
-    for name, value in (("rsi", F.col("rsi10")), ("macd", F.col("macd"))):
+    for name, value in (("rsi", F.round("rsi10", 6)), ("macd", F.round("macd", 6))):
         peak = (close > F.max(close).over(before)) & (value <= F.max(value).over(before))
         trough = (close < F.min(close).over(before)) & (value >= F.min(value).over(before))
         marks[f"{name}_divergence"] = (
