@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .times import column
@@ -29,10 +29,11 @@ CHARACTER_REFERENCES = (
     ("&amp;", "&"),
 )
 
-_BLOCK_PATTERN = "|".join(rf"<{tag}\b.*?</{tag}>" for tag in SKIPPED_BLOCKS)
+_BLOCKS = "|".join(rf"{tag}\b.*?</{tag}>" for tag in SKIPPED_BLOCKS)
+# All alternatives start with the same character: elsewhere the search does not try them.
 NOISE_PATTERN = (
-    rf"(?is)<!--.*?-->|{_BLOCK_PATTERN}"
-    r"""|<div[^>]*class="[^"]*\b(?:ad|ads|advert|banner|comment|comments)\b[^"]*"[^>]*>.*?</div>"""
+    rf"(?is)<(?:!--.*?-->|{_BLOCKS}"
+    r"""|div[^>]*class="[^"]*\b(?:ad|ads|advert|banner|comment|comments)\b[^"]*"[^>]*>.*?</div>)"""
 )
 ARTICLE_PATTERNS = (
     r"(?is)<article\b[^>]*>(.*)</article>",
@@ -59,23 +60,27 @@ def unescape(text: Column) -> Column:
 
 
 def _tidy(text: Column) -> Column:
-    text = F.regexp_replace(text, r"[ \t\r\f]+", " ")
+    """Single blanks, no blank lines, nothing around."""
+    text = F.regexp_replace(text, r"[ \t\r\f]{2,}|[\t\r\f]", " ")
     text = F.regexp_replace(text, r" ?\n[ \n]*", "\n")
-    return F.regexp_replace(text, r"^\s+|\s+$", "")
+    return F.nullif(F.btrim(text, F.lit(" \n")), F.lit(""))
 
 
-def article_text(html: Column | str) -> Column:
-    """Main text of a page, one line per block; NULL when nothing is left."""
-    kept = F.regexp_replace(column(html), NOISE_PATTERN, "")
-    candidates = [F.nullif(F.regexp_extract(kept, p, 1), F.lit("")) for p in ARTICLE_PATTERNS]
-    body = F.coalesce(*candidates, kept)
-    lines = F.regexp_replace(F.regexp_replace(body, LINE_PATTERN, "\n"), TAG_PATTERN, "")
-    return F.nullif(_tidy(unescape(lines)), F.lit(""))
+def with_article_text(df: DataFrame, html: str, name: str) -> DataFrame:
+    """Adds the main text of a page, one line per block; NULL when nothing is left.
+
+    Each step is a column of its own, so that no pattern runs twice over a page.
+    """
+    df = df.withColumn("_kept", F.regexp_replace(html, NOISE_PATTERN, ""))
+    found = [F.nullif(F.regexp_extract("_kept", p, 1), F.lit("")) for p in ARTICLE_PATTERNS]
+    df = df.withColumn("_body", F.coalesce(*found, "_kept"))
+    lines = F.regexp_replace(F.regexp_replace("_body", LINE_PATTERN, "\n"), TAG_PATTERN, "")
+    return df.withColumn(name, _tidy(unescape(lines))).drop("_kept", "_body")
 
 
 def page_title(html: Column | str) -> Column:
     found = F.regexp_extract(column(html), TITLE_PATTERN, 1)
-    return F.nullif(_tidy(unescape(F.regexp_replace(found, TAG_PATTERN, ""))), F.lit(""))
+    return _tidy(unescape(F.regexp_replace(found, TAG_PATTERN, "")))
 
 
 def word_pattern(terms) -> str:

@@ -1,9 +1,9 @@
 """Left joins to the dimensions.
 
-No join carries a broadcast hint: lists written in the job are small by
-construction and Spark sees that, and tables are broadcast by the adaptive
-planner once it has measured them. Hot keys on the left of a larger dimension
-are split by its skew handling.
+No join carries a broadcast hint. Spark knows the size of lists written in the
+job and of stored tables and broadcasts them below its threshold; others it
+measures at run time. Hot keys on the left of a larger dimension are split by its
+skew handling.
 """
 
 from __future__ import annotations

@@ -9,6 +9,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..runtime import join_summary
 from .slices import CANDLES, DAY_SECONDS, Series
 from .topk import latest_per_symbol
 
@@ -28,8 +29,9 @@ def price_change_24h(
     symbol, ts = series.symbol, series.ts
     rows = df.select(symbol, ts, series.tiebreak, close)
     newest = rows.groupBy(symbol).agg((F.max(ts) - F.expr("INTERVAL 24 HOURS")).alias(ts))
-    # Joined on symbol and instant: no symbol is hot under that key.
-    reference = rows.join(newest, [symbol, ts]).select(symbol, F.col(close).alias("_then"))
+    # One row per symbol. Should it be too large to broadcast: joined on symbol and
+    # instant, no symbol is hot.
+    reference = join_summary(rows, newest, [symbol, ts]).select(symbol, F.col(close).alias("_then"))
     shown_rows = latest_per_symbol(rows, shown, symbol, ts, series.tiebreak)
     place = F.row_number().over(Window.partitionBy(symbol).orderBy(*series.descending()))
     diff = F.col(close) - F.col("_then")

@@ -7,6 +7,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..runtime import join_summary
+
 # Bins, value-area shares, relative widening of the price range,
 # decimals of bin borders.
 BINS = 24
@@ -79,9 +81,8 @@ def bin_mid(number: Column, edges: Column, decimals: Column) -> Column:
 def _binned(df: DataFrame, symbol: str, close: str, volume: str, bins: int) -> DataFrame:
     """Volume per symbol and occupied bin, with the borders of the symbol.
 
-    Price range and bin sums are both combined before their shuffle; between
-    them stands a join with one row per symbol, which the adaptive planner
-    broadcasts if it is small and splits along hot symbols if it is not.
+    Price range and bin sums are both combined before their shuffle, and the
+    range of a symbol is brought to its rows by a join that needs no shuffle of the rows while symbols are few.
     """
     rows = df.select(
         symbol,
@@ -93,7 +94,7 @@ def _binned(df: DataFrame, symbol: str, close: str, volume: str, bins: int) -> D
     # the sum, so the sum itself keeps plain numbers only.
     edges = ranges.withColumn("edges", bin_edges(F.col("_lo"), F.col("_hi"), bins))
     return (
-        rows.join(edges, symbol)
+        join_summary(rows, edges, [symbol])
         .withColumn("bin", bin_number(F.col("_close"), F.col("edges"), bins))
         .groupBy(symbol, "bin")
         .agg(F.sum("_volume").alias("volume"), F.min("_lo").alias("_lo"), F.max("_hi").alias("_hi"))

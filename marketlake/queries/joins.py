@@ -98,11 +98,12 @@ def _(spark, sf):
 
 
 @query("join_author_dim", f"""
-  SELECT c.url, c.author, a.id_author FROM ({COMMENTS_SQL}) c
+  SELECT c.url, c.author, coalesce(a.id_author, 0) AS id_author FROM ({COMMENTS_SQL}) c
   LEFT JOIN ({KNOWN_SQL}) a ON c.author = a.author""")
 def _(spark, sf):
     rows = comments(spark, sf).select("url", "author")
-    return joins.join_author_dim(rows, known_authors(spark, sf))
+    joined = joins.join_author_dim(rows, known_authors(spark, sf))
+    return joined.withColumn("id_author", F.coalesce("id_author", F.lit(0)))
 
 
 @query("join_indicator_sentiment", f"""

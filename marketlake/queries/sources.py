@@ -182,9 +182,9 @@ def _literal(pattern: str) -> str:
 def _tidy_sql(text: str) -> str:
     for reference, character in tx.CHARACTER_REFERENCES:
         text = f"replace({text}, {_literal(reference)}, {_literal(character)})"
-    text = f"regexp_replace({text}, '[ \\t\\r\\f]+', ' ', 'g')"
+    text = f"regexp_replace({text}, '[ \\t\\r\\f]{{2,}}|[\\t\\r\\f]', ' ', 'g')"
     text = f"regexp_replace({text}, ' ?\\n[ \\n]*', chr(10), 'g')"
-    return f"nullif(regexp_replace({text}, '^\\s+|\\s+$', '', 'g'), '')"
+    return f"nullif(trim({text}, ' ' || chr(10)), '')"
 
 
 def page_sql(html: str = "html") -> str:
@@ -252,12 +252,12 @@ def event_messages(spark, sf):
 
 @query("json_topic_decode", """
   SELECT event_id, CASE WHEN event_type <> 'error'
-                        THEN CAST(json_extract_string(props, '$.k') AS INTEGER) END AS k,
+                        THEN CAST(json_extract_string(props, '$.k') AS INTEGER) ELSE -1 END AS k,
          CASE WHEN event_type = 'error' THEN left(props, 4) END AS broken FROM events""")
 def _(spark, sf):
     good, broken = raw.json_topic_decode(event_messages(spark, sf), PROPS)
     return good.withColumn("broken", F.lit(None).cast("string")).unionByName(
-        broken.select("event_id", F.lit(None).cast("int").alias("k"), F.col("value").alias("broken"))
+        broken.select("event_id", F.lit(-1).alias("k"), F.col("value").alias("broken"))
     )
 
 

@@ -11,8 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 # Runtime settings every job of this package relies on. The first one makes
 # timestamps mean the same on every machine; the others are Spark defaults that
-# must not be switched off: joins carry no broadcast hints here, the adaptive
-# planner broadcasts a side only after it has measured that side.
+# must not be switched off: the adaptive planner splits hot join keys and merges
+# small partitions.
 SESSION_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -53,7 +53,23 @@ def work_dir(spark: SparkSession, purpose: str) -> str:
 
 
 def durable(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` in the shared folder, so lost executors cost no recomputation
-    and every later use sees the same rows in the same partitions."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """``df`` as a table written once to the shared folder.
+
+    Lost executors cost no recomputation, every later use sees the same rows and
+    reads only the columns it needs, and Spark knows the size of the table.
+    """
+    path = work_dir(df.sparkSession, "table")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def join_summary(
+    left: DataFrame, summary: DataFrame, on: list[str], how: str = "inner"
+) -> DataFrame:
+    """Join with a summary of the left side, say one narrow row per symbol.
+
+    The summary is written first. Its size is then known, and Spark broadcasts it
+    below ``spark.sql.autoBroadcastJoinThreshold``: the left side is not shuffled
+    at all. A larger summary is joined by shuffle, where hot keys are split.
+    """
+    return left.join(durable(summary), on, how)

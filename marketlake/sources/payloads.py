@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import article_text, page_title, url_domain
+from ..functions.text import page_title, url_domain, with_article_text
 from ..functions.times import millis_to_second
 from ..operators.topk import top_k
 from ..schemas import FORUM_LISTING, KLINE_MESSAGE, PRICE, SEARCH_RESPONSE, SYMBOL_NAMES
@@ -116,9 +116,8 @@ def feed_item_topk(
 
 def page_article_extract(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
     """Adds domain, title and main text of every page; the text is NULL when none is found."""
-    return pages.withColumns(
-        {"domain": url_domain(url), "title": page_title(html), "text": article_text(html)}
-    )
+    named = pages.withColumns({"domain": url_domain(url), "title": page_title(html)})
+    return with_article_text(named, html, "text")
 
 
 def text_fallback(df: DataFrame, text: str = "text", description: str = "description") -> DataFrame:

@@ -79,16 +79,21 @@ def test_articles_listings_and_fallback(spark):
         ("bnb", "", "comment"), ("bnb", "s", "comment")]
 
 
+def page_text(spark, html):
+    pages = spark.createDataFrame([("https://a.example.com/x", html)], "url string, html string")
+    return payloads.page_article_extract(pages).first().text
+
+
 def test_page_text(spark):
     page = """<html><head><title>A &amp; B</title><style>p{}</style></head><body><nav><a>menu</a></nav>
     <div class="x ad"><p>buy</p></div><article><h1>Head</h1><p>One &lt;two&gt;<br>three</p><!-- no -->
     <script>var t="<p>no</p>";</script><div class="comments">first!</div></article><footer>end</footer></body></html>"""
-    assert one(spark, page, text.article_text) == "Head\nOne <two>\nthree"
+    assert page_text(spark, page) == "Head\nOne <two>\nthree"
     assert one(spark, page, text.page_title) == "A & B"
-    assert one(spark, "<p>bare</p>", text.article_text) == "bare"
-    assert one(spark, "<html><body><nav>x</nav></body></html>", text.article_text) is None
-    assert one(spark, None, text.article_text) is None
-    assert one(spark, "a &amp;lt; b", text.article_text) == "a &lt; b"
+    assert page_text(spark, "<p>bare</p>") == "bare"
+    assert page_text(spark, "<html><body><nav>x</nav></body></html>") is None
+    assert page_text(spark, None) is None
+    assert page_text(spark, "a &amp;lt; b") == "a &lt; b"
 
 
 def test_domains(spark):
