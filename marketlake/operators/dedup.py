@@ -22,7 +22,8 @@ def dedup_keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -
 def duplicate_report(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """All rows but the first of every key, each with the size of its key.
 
-    No window runs over a key, since one key may hold a third of the table.
+    Pass only the columns to report: all of them are grouped by. No window runs
+    over a key, since one key may hold a third of the table.
     Equal rows are counted first, then each row is compared with the first row
     of its key; the join may be split along hot keys.
     """

@@ -29,9 +29,6 @@ def _distinct(df: DataFrame, name: str, digest: bool) -> Column:
     return F.count_distinct(value) + F.max(F.col(name).isNull().cast("int"))
 
 
-_MEASURES = ("n_rows", "n_null", "n_blank", "n_distinct", "min_value", "max_value")
-
-
 def profile(
     df: DataFrame, names: list[str] | None = None, distinct: bool = True, digest: bool = True
 ) -> DataFrame:
@@ -63,8 +60,19 @@ def profile(
 
 
 def null_blank_profile(df: DataFrame, names: list[str] | None = None) -> DataFrame:
-    """NULLs and empty strings per column, without a shuffle of the values."""
-    return profile(df, names, distinct=False).select("column", "n_rows", "n_null", "n_blank")
+    """NULLs and empty strings per column: counts only, values are not compared."""
+    names = names or df.columns
+    rows = [
+        F.struct(
+            F.lit(n).alias("column"),
+            F.count(F.lit(1)).alias("n_rows"),
+            F.count_if(F.col(n).isNull()).alias("n_null"),
+            blanks(df, n).alias("n_blank"),
+        )
+        for n in names
+    ]
+    wide = df.agg(*[r.alias(f"_{i}") for i, r in enumerate(rows)])
+    return wide.select(F.inline(F.array(*[f"_{i}" for i in range(len(names))])))
 
 
 def distinct_profile(df: DataFrame, names: list[str] | None = None) -> DataFrame:

@@ -54,8 +54,9 @@ class Checked:
         return profile(self.unique)
 
     def duplicates(self) -> DataFrame:
-        """The repeated records that were left out."""
-        return duplicate_report(self.filled, [self.key], [self.order])
+        """Key, order and title of the repeated records that were left out; texts stay behind."""
+        shown = [c for c in dict.fromkeys((self.key, self.order, "title")) if c in self.filled.columns]
+        return duplicate_report(self.filled.select(*shown), [self.key], [self.order])
 
     def dates(self) -> DataFrame:
         """First and last time of the records."""

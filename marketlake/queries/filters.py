@@ -137,8 +137,9 @@ def _(spark, sf):
     SELECT *, row_number() OVER (PARTITION BY id ORDER BY created_utc) AS place,
            count(*) OVER (PARTITION BY id) AS key_rows FROM ({COMMENTS_SQL})) WHERE place > 1""")
 def _(spark, sf):
-    n = dedup.duplicate_report(news(spark, sf), ["url"], ["title"])
-    c = dedup.duplicate_report(comments(spark, sf), ["id"], ["created_utc"])
+    n = dedup.duplicate_report(news(spark, sf).select("url", "title"), ["url"], ["title"])
+    turns = comments(spark, sf).select("id", "created_utc", "title")
+    c = dedup.duplicate_report(turns, ["id"], ["created_utc"])
     return n.select(F.lit("news").alias("kind"), F.col("url").alias("key"), "title", "key_rows").unionByName(
         c.select(F.lit("comments").alias("kind"), F.col("id").alias("key"), "title", "key_rows")
     )

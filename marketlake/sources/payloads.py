@@ -111,7 +111,7 @@ def feed_item_topk(
     items: DataFrame, feed: str = "feed", position: str = "position", k: int = FEED_ITEMS
 ) -> DataFrame:
     """The first ``k`` entries of every feed, in feed order."""
-    return top_k(items, [feed], [F.col(position).asc()], k, spread=[position])
+    return top_k(items, [feed], [F.col(position).asc()], k)
 
 
 def page_article_extract(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:

@@ -82,7 +82,7 @@ def test_top_k_of_a_hot_group(spark):
     df = spark.range(5_000).select(
         F.col("id"), F.when(F.col("id") % 3 == 0, "hot").otherwise((F.col("id") % 50).cast("string")).alias("g")
     )
-    found = topk.top_k(df, ["g"], [F.col("id").desc()], 7, spread=["id"])
+    found = topk.top_k(df.repartition(9), ["g"], [F.col("id").desc()], 7, heaps=4)
     expected = {}
     for r in df.collect():
         expected.setdefault(r.g, []).append(r.id)
