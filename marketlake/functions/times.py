@@ -13,19 +13,23 @@ ISO_MILLIS = "yyyy-MM-dd'T'HH:mm:ss.SSSX"
 # Further patterns met in feeds: ISO with an offset, and mail style dates
 # without their day name (Spark does not parse day names).
 ISO_OFFSET = "yyyy-MM-dd'T'HH:mm:ssX"
-MAIL_ZONE_NAME = "dd MMM yyyy HH:mm:ss z"
-MAIL_OFFSET = "dd MMM yyyy HH:mm:ss Z"
+MAIL_ZONE_NAME = "d MMM yyyy HH:mm:ss z"
+MAIL_OFFSET = "d MMM yyyy HH:mm:ss Z"
 PLAIN_SECONDS = "yyyy-MM-dd HH:mm:ss"
 PLAIN_DAY = "yyyy-MM-dd"
 
-TIMESTAMP_PATTERNS = (
-    ISO_SECONDS,
-    ISO_MILLIS,
-    ISO_OFFSET,
-    MAIL_ZONE_NAME,
-    MAIL_OFFSET,
-    PLAIN_SECONDS,
-    PLAIN_DAY,
+# What a text must look like for a pattern to be tried. A pattern that fails costs
+# an exception inside Spark, a look at the shape does not.
+_DAY = r"^\d{4}-\d\d-\d\d"
+_MAIL = r"^\d{1,2} [A-Za-z]{3} \d{4} \d\d:\d\d:\d\d"
+TIMESTAMP_SHAPES = (
+    (_DAY + r"T\d\d:\d\d:\d\dZ$", ISO_SECONDS),
+    (_DAY + r"T\d\d:\d\d:\d\d\.\d{3}\S+$", ISO_MILLIS),
+    (_DAY + r"T\d\d:\d\d:\d\d[+-]\S+$", ISO_OFFSET),
+    (_MAIL + r" [A-Za-z]+$", MAIL_ZONE_NAME),
+    (_MAIL + r" [+-]\d{4}$", MAIL_OFFSET),
+    (_DAY + r" \d\d:\d\d:\d\d$", PLAIN_SECONDS),
+    (_DAY + "$", PLAIN_DAY),
 )
 
 # Numbers above this bound are epoch milliseconds, others epoch seconds.
@@ -41,10 +45,18 @@ def instant(as_of: datetime | str) -> Column:
     return F.lit(as_of).cast("timestamp")
 
 
-def parse_timestamp(text: Column | str, patterns=TIMESTAMP_PATTERNS) -> Column:
-    """First pattern that fits; NULL when none does."""
-    dayless = F.regexp_replace(F.trim(column(text)), r"^[A-Za-z]{3},\s*", "")
-    return F.coalesce(*[F.try_to_timestamp(dayless, F.lit(p)) for p in patterns])
+def parse_timestamp(text: Column | str) -> Column:
+    """A date text in any of the known notations as a timestamp; NULL for all others."""
+    trimmed = F.trim(column(text))
+    dayless = F.when(
+        trimmed.rlike("^[A-Za-z]{3},"), F.regexp_replace(trimmed, r"^[A-Za-z]{3},\s*", "")
+    ).otherwise(trimmed)
+    parsed = F.lit(None).cast("timestamp")
+    for shape, pattern in reversed(TIMESTAMP_SHAPES):
+        parsed = F.when(
+            dayless.rlike(shape), F.try_to_timestamp(dayless, F.lit(pattern))
+        ).otherwise(parsed)
+    return parsed
 
 
 def epoch_to_timestamp(number: Column | str) -> Column:

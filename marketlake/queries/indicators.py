@@ -413,10 +413,11 @@ def _(spark, sf):
 
 
 @query("price_axis_domain", f"""
-  SELECT symbol, min(close) - 10 AS min_price, max(close) + 10 AS max_price
+  SELECT symbol, round(min(close) - 10, 6) AS min_price, round(max(close) + 10, 6) AS max_price
   FROM ({newest_sql(350)}) GROUP BY symbol""")
 def _(spark, sf):
-    return ind.price_axis_domain(topk.latest_per_symbol(bars(spark, sf), 350))
+    domain = ind.price_axis_domain(topk.latest_per_symbol(bars(spark, sf), 350))
+    return r6(domain, "min_price", "max_price")
 
 
 # --- 24 hours ----------------------------------------------------------------------
