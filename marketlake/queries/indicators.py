@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..functions.labels import LABEL_RULES
 from ..operators import indicators as ind
 from ..operators import stats24h, topk, volume
-from ..operators.bars import INTERVALS, kline_rollup
+from ..operators.bars import INTERVALS, kline_resample, kline_rollup
 from ..operators.sentiment import LABELS, market_regime, sentiment_labels
 from .base import (
     HOURS,
@@ -15,12 +15,11 @@ from .base import (
     bars,
     bars_sql,
     candles_sql,
+    load,
     query,
     r6,
     sql_r6,
     ticks,
-    load,
-    TICKS_SQL,
 )
 
 ORDER = "PARTITION BY symbol ORDER BY endtime, event_id"
@@ -397,8 +396,6 @@ for _name, _k in (("latest_350_per_symbol", 350), ("latest_26_per_symbol", 26),
 def _(spark, sf):
     """One symbol, as a filter that reaches the scan; the per-symbol loop itself is not needed."""
     only = ticks(spark, sf).where(F.col("symbol") == "click")
-    from ..operators.bars import kline_resample
-
     return kline_resample(only, "1m").select("event_id", "symbol", "endtime", "close")
 
 

@@ -22,7 +22,7 @@ from .base import (
     raw_candles,
     raw_candles_sql,
 )
-from .composites import CLEAN_COMMENTS, CLEAN_NEWS
+from .composites import CLEAN_COMMENTS, CLEAN_NEWS, silver_news
 
 HOURS = (datetime(2024, 1, 31, 5), datetime(2024, 1, 31, 6))
 NEWS_COLUMNS = ", ".join(RAW["news"].names)
@@ -74,8 +74,6 @@ def _(spark, sf):
 
 
 def dim_news_rows(spark, sf):
-    from .composites import silver_news
-
     rows = silver_news(spark, sf).withColumns(
         {
             "id": F.lit(None).cast("long"),

@@ -222,3 +222,13 @@ def test_first_and_last_tick_of_equal_times(spark):
     ticks = ticks.withColumns({"ts": F.col("t").cast("timestamp"), "qty": F.lit(1.0)})
     bar = kline_resample(ticks, "1m").first()
     assert (bar.open, bar.close, bar.event_id, bar.highest) == (7.0, 5.0, 2, 7.0)
+
+
+def test_no_window_holds_a_whole_symbol(candles):
+    """Windows over candles run per slice, and the halo is cut before its shuffle."""
+    df = ind.indicator_series(candles(rows_of({"long": HISTORIES["long"]})), Series(slice_seconds=3_600))
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    frames = [line for line in plan.splitlines() if "windowspecdefinition" in line]
+    over_candles = [line for line in frames if "collect_list(_tail" not in line]
+    assert over_candles and all("_slice" in line for line in over_candles)
+    assert "WindowGroupLimit" in plan and "Partial" in plan
