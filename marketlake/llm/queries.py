@@ -48,7 +48,7 @@ _FAILS = {
     "symbols": "10 * n_symbols > n_words",
     "short_words": "word_chars < 2 * n_words",
     "long_words": "word_chars > 12 * n_words",
-    "repeated_lines": "10 * n_dup_lines > 3 * n_lines",
+    "repeated_lines": "2 * n_dup_lines > n_lines",
     "shouting": "2 * n_upper > word_chars",
 }
 _BITS = " + ".join(f"CASE WHEN {_FAILS[r.name]} THEN {1 << r.bit} ELSE 0 END" for r in RULES)

@@ -34,7 +34,7 @@ RULES = (
     Rule("symbols", 2, lambda m: 10 * m("n_symbols") > m("n_words")),
     Rule("short_words", 3, lambda m: m("word_chars") < 2 * m("n_words")),
     Rule("long_words", 4, lambda m: m("word_chars") > 12 * m("n_words")),
-    Rule("repeated_lines", 5, lambda m: 10 * m("n_dup_lines") > 3 * m("n_lines")),
+    Rule("repeated_lines", 5, lambda m: 2 * m("n_dup_lines") > m("n_lines")),
     Rule("shouting", 6, lambda m: 2 * m("n_upper") > m("word_chars")),
 )
 BASE = ("few_words", "repeated_words")
