@@ -4,10 +4,16 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from . import cotraining, secrets
 from .chat import perspectives
+from .curves import nearest
+from .html import extracted
 from .mixing import SWEEPS, Target, mixed, topic_of, words
+from .neardup import near_duplicates
+from .packing import packed
 from .registry import query, table
 from .rules import POLICIES, RULES, ledger, passes
+from .spans import without_repeats
 
 # --- 3: chat formatting ---------------------------------------------------------
 CHAT_SQL = """
@@ -148,3 +154,69 @@ def mix_query(spark, sf_dir):
     """Raked weight and draw of every document."""
     drawn = mix(table(spark, sf_dir, "documents"))
     return drawn.select("doc_id", "tokens", "weight", "probability", "copies", "kept")
+
+
+# --- 8: secrets -----------------------------------------------------------------------
+@query("op8_markov_secrets")
+def markov_secrets(spark, sf_dir):
+    """All secrets of every document: counts and digest of the base spans, and all spans."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = secrets.scan(docs, secrets.train(docs)).drop("text")
+    count = lambda kind: F.expr(f"cast(size(filter(secrets, s -> s.kind = '{kind}')) AS long)")
+    return found.select(
+        "doc_id",
+        *[count(k).alias(f"n_{k}") for k in secrets.KINDS],
+        "base_sha256",
+        F.expr("array_join(transform(secrets, s -> concat(s.kind, ':', s.start, ':', s.stop)), ',')").alias("spans"),
+    )
+
+
+# --- 6: main text ------------------------------------------------------------------------
+@query("op6_text_density")
+def text_density(spark, sf_dir):
+    """Main text of every page."""
+    return extracted(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+
+
+# --- 7: packing ----------------------------------------------------------------------------
+def pack(df):
+    import public_tokenizers
+
+    return packed(df, public_tokenizers.path("word_bpe_49k.json"))
+
+
+@query("op7_vector_packing")
+def vector_packing(spark, sf_dir):
+    """Every document cut to pieces of sequences of at most 4096 tokens."""
+    return pack(table(spark, sf_dir, "documents"))
+
+
+# --- 2: nearest neighbours -------------------------------------------------------------------
+@query("op2_hilbert_curves")
+def hilbert_neighbours(spark, sf_dir):
+    """The 20 nearest vectors found for every vector whose id is divisible by 20."""
+    return nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+# --- 4: near-duplicates ------------------------------------------------------------------------
+@query("op4_setsketch")
+def setsketch(spark, sf_dir):
+    """Component of every document among those that share 85 % of their shingles."""
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
+# --- 10: repeated passages -----------------------------------------------------------------------
+@query("op10_sentence_spans")
+def sentence_spans(spark, sf_dir):
+    """Every document without the passages that stand elsewhere before."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return without_repeats(docs).select("doc_id", "n_sentences", "n_removed", "removed", "text")
+
+
+# --- 1: quality classifier -------------------------------------------------------------------------
+@query("op1_cotraining")
+def cotraining_query(spark, sf_dir):
+    """Quality of every document by the text, the metadata and both."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    scored = cotraining.classified(docs, cotraining.train(docs, labels)).drop("text")
+    return scored.select("doc_id", *[F.round(c, 9).alias(c) for c in ("text_score", "meta_score", "score")], "kept")
