@@ -76,8 +76,9 @@ def _matrix(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
 def _placed(items: DataFrame, curves: Curves, size: int, longest: float) -> DataFrame:
     """Every item (class, query, vec) once per curve, with its key."""
     rng = np.random.default_rng(curves.seed)
-    turns = [np.linalg.qr(rng.normal(size=(size + 1, curves.dims)))[0] for _ in range(curves.count)]
-    shifts = rng.uniform(size=(curves.count, curves.dims))
+    dims = min(curves.dims, size + 1)
+    turns = [np.linalg.qr(rng.normal(size=(size + 1, dims)))[0] for _ in range(curves.count)]
+    shifts = rng.uniform(size=(curves.count, dims))
 
     def run(batches):
         for batch in batches:
