@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from marketlake.llm import queries
+from marketlake.llm import cotraining, neardup, queries, secrets
 from marketlake.llm.registry import ready, table
 from marketlake.runtime import durable
 
@@ -14,16 +15,50 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the co-trained classifier finds good; trained on the given ``labels``."""
+    ready(spark)
+    docs = docs.select(*COLUMNS)
+    model = cotraining.train(docs, table(spark, sf_dir, "labels"))
+    return cotraining.classified(docs, model).where("kept").select(*COLUMNS)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates, the one with the smallest id."""
+    ready(spark)
+    return neardup.deduplicated(docs.select(*COLUMNS))
+
+
+def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, with a mark in place of every secret."""
+    ready(spark)
+    docs = docs.select(*COLUMNS)
+    clean = secrets.redacted(docs, secrets.train(docs))
+    return clean.withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS)
+
+
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Draws documents so that sources, languages and topics come to their shares."""
     ready(spark)
     return queries.mix(docs.select(*COLUMNS)).where("kept").select(*COLUMNS)
 
 
-STAGES: list[tuple[str, Stage]] = [("mixing", mixing)]
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document in pieces of sequences of at most 4096 tokens."""
+    ready(spark)
+    return queries.pack(docs)
+
+
+STAGES: list[tuple[str, Stage]] = [
+    ("quality classifier", quality),
+    ("near-duplicates", near_duplicates),
+    ("secret scan", secret_scan),
+    ("mixing", mixing),
+    ("packing", packing),
+]
 
 # Trained models, sketches and tokenizers have no SQL form; tests compare with brute force.
-ORACLE_SQL = None
+ORACLE_SQL: str | None = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:

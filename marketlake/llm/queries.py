@@ -61,7 +61,12 @@ _BITS = " + ".join(f"CASE WHEN {_FAILS[r.name]} THEN {1 << r.bit} ELSE 0 END" fo
 RULES_SQL = f"""
 WITH t AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents),
 w AS (SELECT r, regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+') AS w FROM t),
-win AS (SELECT r, i, w[i : i + 4] AS s FROM (SELECT r, w, unnest(range(1, len(w) - 3)) AS i FROM w)),
+word AS (SELECT r, unnest(w) AS x, generate_subscripts(w, 1) AS i FROM w),
+win AS (
+  SELECT * FROM (
+    SELECT r, i, x || ' ' || lead(x, 1) OVER o || ' ' || lead(x, 2) OVER o || ' ' || lead(x, 3) OVER o || ' ' || lead(x, 4) OVER o AS s
+    FROM word WINDOW o AS (PARTITION BY r ORDER BY i))
+  WHERE s IS NOT NULL),
 dup AS (SELECT r, i FROM (SELECT r, i, count(*) OVER (PARTITION BY r, s) AS n FROM win) WHERE n > 1),
 cover AS (SELECT r, count(DISTINCT p) AS n FROM (SELECT r, unnest(range(i, i + 5)) AS p FROM dup) GROUP BY r),
 lines AS (SELECT r, unnest(string_split(text, chr(10))) AS l FROM t),
