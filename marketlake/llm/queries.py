@@ -106,12 +106,12 @@ def _rake_sql() -> str:
             name = f"s{sweep}_{dim}"
             steps.append(
                 f"{name} AS MATERIALIZED (SELECT source, lang, topic, tokens, t_source, t_lang, t_topic,"
-                f" w * t_{dim} / sum(w) OVER (PARTITION BY {dim}) AS w FROM {last})"
+                f" coalesce(w * t_{dim} / nullif(sum(w) OVER (PARTITION BY {dim}), 0), 0) AS w FROM {last})"
             )
             last = name
     # the library fits the sources once more at the end
     steps.append(
-        f"raked AS (SELECT source, lang, topic, w * t_source / sum(w) OVER (PARTITION BY source)"
+        f"raked AS (SELECT source, lang, topic, coalesce(w * t_source / nullif(sum(w) OVER (PARTITION BY source), 0), 0)"
         f" * sum(tokens) OVER () / tokens AS w FROM {last})"
     )
     return ",\n".join(steps)

@@ -105,7 +105,10 @@ def measured(df: DataFrame, text: str = "text", keep: tuple[str, ...] = ("doc_id
         f"aggregate(_places, struct(0L AS n, -{WINDOW} AS last),"
         f" (a, p) -> struct(a.n + least({WINDOW}, p - a.last) AS n, p AS last), a -> a.n)"
     )
-    counted = places.withColumn("n_repeat_words", F.coalesce(covered, F.lit(0)).cast("long"))
+    # The id adds nothing, but keeps filters above: below, Spark would put the whole expression in
+    # place of every use of an array and sort it once per element.
+    once = F.monotonically_increasing_id() * 0
+    counted = places.withColumn("n_repeat_words", F.coalesce(covered, F.lit(0)).cast("long") + once)
     return counted.select(*keep, *MEASURES)
 
 
