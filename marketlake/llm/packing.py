@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import os
+import re
 import zlib
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -11,9 +14,12 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-WHITE = str.maketrans(dict.fromkeys("\t\n\x0b\f\r", " "))
-SENTENCE_ENDS = (".", ",")
-MOST_WORDS = 300_000  # remembered at a time
+WHITE = "\n\t\r\x0b\f"
+# Letters below U+0250 but the one whose small form is no letter, then marks: what the tokenizer
+# divides there as well, whatever stands around it.
+WORD = re.compile(r"([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f]+)([!-/:-@\[-`{-~]*)")
+TOGETHER = 200
+MOST_WORDS = 600_000  # remembered at a time
 TASK_BITS = 33
 
 
@@ -34,36 +40,63 @@ class Encoder:
     """Token ids of texts as little-endian bytes, by the tokenizer in a file.
 
     The tokenizer splits at white space before anything else, so the ids of a text are those of
-    its parts between white space; parts are looked up, new ones are encoded together. A word
-    and the full stop or comma behind it are parts of their own as well.
+    its parts between white space. Parts are looked up. New ones that are a word, or a word and
+    marks behind it, are encoded as one text and told apart by the ids that end a word; all
+    others are encoded on their own.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark has the cores already
         self.tokenizer = Tokenizer.from_file(path)
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[i for word, i in vocabulary.items() if word.endswith("</w>")]] = True
         self.known: dict[str, bytes] = {}
 
     def _learn(self, parts: list[str]) -> None:
-        known = self.known
-        for part, found in zip(parts, self.tokenizer.encode_batch(parts, add_special_tokens=False), strict=True):
-            known[part] = np.array(found.ids, "<u4").tobytes()
+        found = self.tokenizer.encode_batch_fast(parts, add_special_tokens=False)
+        self.known.update(zip(parts, [array("I", x.ids).tobytes() for x in found], strict=True))
+
+    def _learn_words(self, words: list[str]) -> None:
+        parts = [words[at : at + TOGETHER] for at in range(0, len(words), TOGETHER)]
+        found = self.tokenizer.encode_batch_fast([" ".join(p) for p in parts], add_special_tokens=False)
+        for part, x in zip(parts, found, strict=True):
+            ids = np.array(x.ids, "<u4")
+            stops = 4 * (np.flatnonzero(self.ends[ids]) + 1)
+            if len(stops) != len(part):  # a tokenizer that divides words
+                self._learn(part)
+                continue
+            data, begin = ids.tobytes(), 0
+            for word, stop in zip(part, stops.tolist(), strict=True):
+                self.known[word] = data[begin:stop]
+                begin = stop
 
     def __call__(self, texts: list[str | None]) -> list[bytes]:
         if len(self.known) > MOST_WORDS:
             self.known.clear()
         known = self.known
-        rows = [t.translate(WHITE).split(" ") if t else [] for t in texts]
-        new = set().union(*rows).difference(known)
-        cores = {w[:-1] for w in new if w[-1:] in SENTENCE_ENDS and w[:-1].isascii() and w[:-1].isalpha()}
-        self._learn(sorted((cores | set(SENTENCE_ENDS)).difference(known)))
-        rest = []
-        for w in new:
-            if w[:-1] in cores and w[-1:] in SENTENCE_ENDS:
-                known[w] = known[w[:-1]] + known[w[-1]]
-            elif w not in known:
-                rest.append(w)
-        self._learn(rest)
+        rows = []
+        for t in texts:
+            for c in WHITE:
+                t = t.replace(c, " ") if t and c in t else t
+            rows.append(t.split(" ") if t else [])
+        marked, words, rest = [], set(), set()
+        for part in set().union(*rows).difference(known):
+            m = WORD.fullmatch(part)
+            if m is None:
+                rest.add(part)
+            elif m[2]:
+                marked.append((part, m[1], m[2]))
+                words.add(m[1])
+                rest.add(m[2])
+            else:
+                words.add(part)
+        self._learn_words(list(words.difference(known)))
+        self._learn(list(rest.difference(known)))
+        for part, word, marks in marked:
+            known[part] = known[word] + known[marks]
         return [b"".join([known[w] for w in row]) for row in rows]
 
 
