@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -21,33 +23,42 @@ def kline_resample(
     """One bar per symbol and interval that has a tick.
 
     ``event_id`` is the id of the closing tick and ``endtime`` the end of the
-    interval. One aggregation with partial results before the shuffle: a hot
-    symbol costs no more than its number of bars.
+    interval. One hash aggregation with partial results before the shuffle: a hot
+    symbol costs no more than its number of bars, and no tick is sorted. Ticks without
+    a price open and close no bar.
     """
-    tick = F.struct(F.col(ts), F.col(tiebreak).alias("id"), F.col(price).alias("price"))
+    at = F.when(F.col(price).isNotNull(), _order(ts, tiebreak))
     grouped, start = _by_interval(ticks, symbol, ts, every)
     return grouped.agg(
-        F.min(tick).alias("_first"),
-        F.max(tick).alias("_last"),
+        F.max_by(tiebreak, at).alias("event_id"),
+        F.min_by(price, at).alias("open"),
+        F.max_by(price, at).alias("close"),
         F.max(price).alias("highest"),
         F.min(price).alias("lowest"),
         F.sum(qty).alias("volume"),
         F.sum(F.col(price) * F.col(qty)).alias("quotevolume"),
     ).select(
-        F.col("_last.id").alias("event_id"),
+        "event_id",
         "symbol",
         F.lit(every).alias("interval"),
         start.alias("starttime"),
         (start + _length(every)).alias("endtime"),
-        F.col("_first.price").alias("open"),
+        "open",
         "highest",
         "lowest",
-        F.col("_last.price").alias("close"),
+        "close",
         "volume",
         "quotevolume",
     )
 
 
+def _order(ts: str, tiebreak: str) -> Column:
+    """Instant and id as one number, which a hash aggregation can hold; a struct it cannot."""
+    micros = F.unix_micros(F.col(ts).cast("timestamp")).cast("decimal(19,0)")
+    id = F.col(tiebreak).cast("decimal(20,0)") + F.lit(Decimal(1 << 63))  # 0 or more, below 2 * 10^19
+    return (micros * F.lit(Decimal(2 * 10**19)) + id).cast("decimal(38,0)")
+
+
 def _length(every: str) -> Column:
     return F.make_dt_interval(secs=F.lit(INTERVALS[every]))
 

@@ -5,14 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 Handler = Callable[[DataFrame, int], None]
 
-# Fixed value: messages of the second stage per poll; the default for row-based sources.
-MESSAGES_PER_DRAIN = 2_000
-
 
 def new_file_pickup(
     spark: SparkSession,
@@ -28,16 +26,17 @@ def new_file_pickup(
     return reader.load(path)
 
 
-def topic_stream(spark: SparkSession, options: dict[str, str]) -> DataFrame:
+def topic_stream(
+    spark: SparkSession, options: dict[str, str], messages_per_batch: int | None = None
+) -> DataFrame:
     """A Kafka topic from its earliest message, where the connector is deployed.
 
-    Consumer groups and commits are replaced by the checkpoint of the query.
+    Consumer groups and commits are replaced by the checkpoint of the query. A batch
+    takes all there is, unless ``messages_per_batch`` limits it.
     """
-    settings = {
-        "startingOffsets": "earliest",
-        "maxOffsetsPerTrigger": str(MESSAGES_PER_DRAIN),
-        **options,
-    }
+    settings = {"startingOffsets": "earliest", **options}
+    if messages_per_batch:
+        settings["maxOffsetsPerTrigger"] = str(messages_per_batch)
     return spark.readStream.format("kafka").options(**settings).load()
 
 
@@ -83,3 +82,18 @@ def keyed_append(path: str) -> Handler:
 def committed(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     """All rows that :func:`keyed_append` has written."""
     return spark.read.schema(schema).parquet(f"{path}/batch=*")
+
+
+def closing_row(rows: DataFrame, ts: str, delay: str = "400 days") -> DataFrame:
+    """One row, empty but for a time far behind the last of ``rows``.
+
+    Delivered after the end of an input it moves the watermark past everything that is open, so
+    that a drain gives out the last windows. Its own window stays open.
+    """
+    last = rows.agg(F.max(ts).alias(ts)).where(F.col(ts).isNotNull())
+    return last.select(
+        *[
+            (F.col(ts) + F.expr(f"INTERVAL {delay}")).cast(f.dataType).alias(ts) if f.name == ts else F.lit(None).cast(f.dataType).alias(f.name)
+            for f in rows.schema
+        ]
+    )

@@ -17,21 +17,13 @@ from ..operators.stats24h import follow, slice_summaries
 DELAY = f"{RECENT_HOURS} hours"
 
 
-def stream_dedup(
-    stream: DataFrame, key: Sequence[str], ts: str, delay: str = DELAY, heaps: int = 8
-) -> DataFrame:
+def stream_dedup(stream: DataFrame, key: Sequence[str], ts: str, delay: str = DELAY) -> DataFrame:
     """One row per key while repeats come within the delay; state is dropped after it.
 
-    Repeats of a hot key are first dropped per heap of input tasks, so that no
-    single task receives all of them; a repeat there may prolong the time its key
-    is remembered. ``heaps=1`` leaves this step out, for keys known to be spread.
+    A key is remembered once, at its own place, so the result does not depend on how
+    files fall on tasks.
     """
-    marked = stream.withWatermark(ts, delay)
-    if heaps > 1:
-        heap = F.pmod(F.spark_partition_id(), F.lit(heaps))
-        marked = marked.withColumn("_heap", heap).dropDuplicatesWithinWatermark([*key, "_heap"])
-        marked = marked.drop("_heap")
-    return marked.dropDuplicatesWithinWatermark(list(key))
+    return stream.withWatermark(ts, delay).dropDuplicatesWithinWatermark(list(key))
 
 
 def stream_bars(

@@ -116,6 +116,27 @@ def test_repeats_are_dropped_over_batches(spark):
     assert sorted(r.url for r in spark.read.parquet(out).collect()) == ["a", "b", "c", "d"]
 
 
+def test_a_key_comes_again_after_its_delay_for_any_layout_of_files(spark):
+    schema = "url string, published timestamp"
+    at = lambda h: START + timedelta(hours=h)
+    for files in (1, 3):
+        path, out, checkpoint = (work_dir(spark, n) for n in ("landing", "out", "checkpoint"))
+        for rows in ([("a", at(0))], [("a", at(3)), ("x", at(9))], [("a", at(6)), ("y", at(9))]):
+            df = spark.createDataFrame(rows, schema)
+            df.repartition(files).write.mode("append").parquet(path)
+            run(operators.stream_dedup(batches.new_file_pickup(spark, path, df.schema), ["url"], "published"), out, checkpoint)
+        found = spark.read.parquet(out).where("url = 'a'").collect()
+        assert sorted(r.published.hour for r in found) == [0, 6]
+
+
+def test_bars_of_ticks_are_not_sorted(spark):
+    from marketlake.operators.bars import kline_resample
+
+    schema = "symbol string, ts timestamp, event_id long, price decimal(18,2), qty decimal(18,2)"
+    plan = kline_resample(spark.createDataFrame([], schema), "1h")._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate" in plan and "SortAggregate" not in plan and "Sort " not in plan
+
+
 def test_a_truncated_message_does_not_stop_the_stream(spark):
     path, out, checkpoint = (work_dir(spark, n) for n in ("landing", "out", "checkpoint"))
     rows = spark.createDataFrame([('{"a":1}',), ('{"a":',), ('{"a":3}',)], "value string")
