@@ -9,27 +9,19 @@ from pyspark.sql import functions as F
 
 # The date patterns that feeds and typed messages use.
 ISO_SECONDS = "yyyy-MM-dd'T'HH:mm:ss'Z'"
-ISO_MILLIS = "yyyy-MM-dd'T'HH:mm:ss.SSSX"
-# Further patterns met in feeds: ISO with an offset, and mail style dates
-# without their day name (Spark does not parse day names).
-ISO_OFFSET = "yyyy-MM-dd'T'HH:mm:ssX"
+# Mail style dates without their day name (Spark does not parse day names).
 MAIL_ZONE_NAME = "d MMM yyyy HH:mm:ss z"
 MAIL_OFFSET = "d MMM yyyy HH:mm:ss Z"
-PLAIN_SECONDS = "yyyy-MM-dd HH:mm:ss"
-PLAIN_DAY = "yyyy-MM-dd"
+MAIL_PLAIN = "d MMM yyyy HH:mm:ss"
 
-# What a text must look like for a pattern to be tried. A pattern that fails costs
-# an exception inside Spark, a look at the shape does not.
-_DAY = r"^\d{4}-\d\d-\d\d"
+# What a text must look like to be tried. A pattern that fails costs an exception
+# inside Spark, a look at the shape does not.
+ISO_SHAPE = r"^\d{4}-\d\d-\d\d([T ]\d\d:\d\d(:\d\d(\.\d{1,9})?)?( ?Z| ?[+-]\d\d(:?\d\d)?| UTC| GMT)?)?$"
 _MAIL = r"^\d{1,2} [A-Za-z]{3} \d{4} \d\d:\d\d:\d\d"
-TIMESTAMP_SHAPES = (
-    (_DAY + r"T\d\d:\d\d:\d\dZ$", ISO_SECONDS),
-    (_DAY + r"T\d\d:\d\d:\d\d\.\d{3}\S+$", ISO_MILLIS),
-    (_DAY + r"T\d\d:\d\d:\d\d[+-]\S+$", ISO_OFFSET),
+MAIL_SHAPES = (
     (_MAIL + r" [A-Za-z]+$", MAIL_ZONE_NAME),
     (_MAIL + r" [+-]\d{4}$", MAIL_OFFSET),
-    (_DAY + r" \d\d:\d\d:\d\d$", PLAIN_SECONDS),
-    (_DAY + "$", PLAIN_DAY),
+    (_MAIL + "$", MAIL_PLAIN),
 )
 
 # Numbers above this bound are epoch milliseconds, others epoch seconds.
@@ -45,18 +37,37 @@ def instant(as_of: datetime | str) -> Column:
     return F.lit(as_of).cast("timestamp")
 
 
+def _iso(text: Column) -> Column:
+    """An ISO text by the built-in cast, which knows any number of decimals and ``+hh:mm``."""
+    timed = F.regexp_replace(text, r"^(\d{4}-\d\d-\d\d[T ]\d\d:\d\d)(?!:)", "$1:00")
+    zoned = F.regexp_replace(timed, r"(:\d\d(?:\.\d+)?) ?([+-]\d\d):?(\d\d)?$", "$1$2:$3")
+    return F.regexp_replace(zoned, r"([+-]\d\d:)$", "$100").try_cast("timestamp")
+
+
 def parse_timestamp(text: Column | str) -> Column:
-    """A date text in any of the known notations as a timestamp; NULL for all others."""
+    """A date text in any of the known notations as a timestamp; NULL for all others.
+
+    ISO dates to the day, minute, second or a part of it, with ``Z``, ``+hh``, ``+hhmm``,
+    ``+hh:mm`` or no zone, and mail dates with or without day name, seconds and zone. Without
+    a zone the session's zone is meant, UTC in this package.
+    """
     trimmed = F.trim(column(text))
-    dayless = F.when(
-        trimmed.rlike("^[A-Za-z]{3},"), F.regexp_replace(trimmed, r"^[A-Za-z]{3},\s*", "")
-    ).otherwise(trimmed)
+    iso = F.when(trimmed.rlike(ISO_SHAPE), _iso(trimmed))
+    mail = F.when(
+        trimmed.rlike("^([A-Za-z]{3,9},? +)?[0-9]{1,2} [A-Za-z]{3} "),
+        F.regexp_replace(trimmed, r"^[A-Za-z]{3,9},? +", ""),
+    )
+    mail = F.regexp_replace(mail, r"^(\d{1,2} [A-Za-z]{3} \d{4} \d\d:\d\d)( |$)", "$1:00$2")
     parsed = F.lit(None).cast("timestamp")
-    for shape, pattern in reversed(TIMESTAMP_SHAPES):
-        parsed = F.when(
-            dayless.rlike(shape), F.try_to_timestamp(dayless, F.lit(pattern))
-        ).otherwise(parsed)
-    return parsed
+    for shape, pattern in reversed(MAIL_SHAPES):
+        parsed = F.when(mail.rlike(shape), F.try_to_timestamp(mail, F.lit(pattern))).otherwise(parsed)
+    return F.coalesce(iso, parsed)
+
+
+def unreadable_date(text: Column | str) -> Column:
+    """True for a text that says something but is no date in a known notation."""
+    said = F.trim(column(text))
+    return F.coalesce(said != "", F.lit(False)) & parse_timestamp(said).isNull()
 
 
 def epoch_to_timestamp(number: Column | str) -> Column:

@@ -37,22 +37,52 @@ def _(spark, sf):
     )
 
 
-@query("parse_timestamp", f"""
-  SELECT title, published_ts AS iso, published_ts AS millis, published_ts AS mail, published_ts AS mail_offset,
-         CAST(NULL AS TIMESTAMP) AS garbage FROM ({NEWS_SQL})""")
-def _(spark, sf):
-    """The same instant in four notations, and a text that is no date."""
-    at = times.parse_timestamp("published")
-    weekday = F.date_format(at, "E")
-    mail = F.concat(weekday, F.lit(", "), F.date_format(at, "dd MMM yyyy HH:mm:ss"))
-    return news(spark, sf).select(
-        "title",
-        at.alias("iso"),
-        times.parse_timestamp(F.date_format(at, "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'")).alias("millis"),
-        times.parse_timestamp(F.concat(mail, F.lit(" GMT"))).alias("mail"),
-        times.parse_timestamp(F.concat(mail, F.lit(" +0000"))).alias("mail_offset"),
-        times.parse_timestamp("title").alias("garbage"),
-    )
+# Notations of one instant: how DuckDB writes it, and what of it must come back.
+NOTATIONS = {
+    "iso": ("%Y-%m-%dT%H:%M:%SZ", "second"),
+    "millis": ("%Y-%m-%dT%H:%M:%S.%gZ", "millisecond"),
+    "micros": ("%Y-%m-%dT%H:%M:%S.%fZ", "microsecond"),
+    "offset": ("%Y-%m-%dT%H:%M:%S+00:00", "second"),
+    "millis_offset": ("%Y-%m-%dT%H:%M:%S.%g+00:00", "millisecond"),
+    "offset_plain": ("%Y-%m-%dT%H:%M:%S+0000", "second"),
+    "no_zone": ("%Y-%m-%dT%H:%M:%S", "second"),
+    "millis_no_zone": ("%Y-%m-%dT%H:%M:%S.%g", "millisecond"),
+    "blank": ("%Y-%m-%d %H:%M:%S", "second"),
+    "day": ("%Y-%m-%d", "day"),
+    "mail": ("%a, %d %b %Y %H:%M:%S GMT", "second"),
+    "mail_offset": ("%a, %d %b %Y %H:%M:%S +0000", "second"),
+    "mail_minutes": ("%a, %d %b %Y %H:%M GMT", "minute"),
+}
+# The same patterns as Spark writes them.
+SPARK_PATTERN = {
+    "iso": "yyyy-MM-dd'T'HH:mm:ss'Z'", "millis": "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'", "micros": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'",
+    "offset": "yyyy-MM-dd'T'HH:mm:ss'+00:00'", "millis_offset": "yyyy-MM-dd'T'HH:mm:ss.SSS'+00:00'",
+    "offset_plain": "yyyy-MM-dd'T'HH:mm:ss'+0000'", "no_zone": "yyyy-MM-dd'T'HH:mm:ss", "millis_no_zone": "yyyy-MM-dd'T'HH:mm:ss.SSS",
+    "blank": "yyyy-MM-dd HH:mm:ss", "day": "yyyy-MM-dd", "mail": "E, dd MMM yyyy HH:mm:ss 'GMT'",
+    "mail_offset": "E, dd MMM yyyy HH:mm:ss '+0000'", "mail_minutes": "E, dd MMM yyyy HH:mm 'GMT'",
+}
+
+
+@query("parse_timestamp", "SELECT event_id, " + ", ".join(
+    f"date_trunc('{part}', ts)::TIMESTAMP AS {name}" for name, (_, part) in NOTATIONS.items()
+) + ", CAST(NULL AS TIMESTAMP) AS garbage FROM events")
+def _(spark, sf):
+    """The same instant in every notation, and a text that is no date."""
+    events = load(spark, sf, "events")
+    at = F.col("ts").cast("timestamp")
+    written = {name: times.parse_timestamp(F.date_format(at, pattern)) for name, pattern in SPARK_PATTERN.items()}
+    return events.select("event_id", *[c.alias(n) for n, c in written.items()], times.parse_timestamp("props").alias("garbage"))
+
+
+@query("unreadable_date", """
+  SELECT event_id, CASE WHEN event_id % 3 = 0 THEN event_type ELSE 'soon' END AS published
+  FROM events WHERE event_id % 3 < 2 AND (event_id % 3 = 1 OR event_type <> '')""")
+def _(spark, sf):
+    """Events whose date text says something that is no date: the rows a time filter would lose."""
+    third = F.pmod("event_id", F.lit(3))
+    text = F.when(third == 0, F.col("event_type")).when(third == 1, "soon").otherwise(F.date_format("ts", "yyyy-MM-dd HH:mm:ss"))
+    rows = load(spark, sf, "events").select("event_id", text.alias("published"))
+    return rows.where(times.unreadable_date("published"))
 
 
 @query("epoch_to_timestamp", f"SELECT url, created_ts FROM ({COMMENTS_SQL})")

@@ -35,6 +35,18 @@ def _(spark, sf):
     return raw.raw_json_read(spark, root, "comments", HOUR)
 
 
+@query("raw_json_rejects", f"""
+  SELECT '{{"id":"' || id || '","score":' AS line FROM ({COMMENTS_SQL}) WHERE id IS NOT NULL""")
+def _(spark, sf):
+    """Comments cut off in the middle, in a folder with whole ones."""
+    root = work_dir(spark, "raw")
+    raw_landing_write(comments(spark, sf), root, "comments", HOUR)
+    cut = comments(spark, sf).where("id IS NOT NULL")
+    cut = cut.select(F.concat(F.lit('{"id":"'), F.col("id"), F.lit('","score":')).alias("value"))
+    cut.write.mode("append").text(raw.hour_folder(root, "comments", HOUR))
+    return raw.raw_json_rejects(spark, root, "comments", HOUR).select("line")
+
+
 @query("latest_path_partition", """
   SELECT max(CASE WHEN event_type = 'view' THEN date_trunc('second', ts)
                   ELSE date_trunc('hour', ts) END) AS latest FROM events""")
@@ -274,9 +286,10 @@ LINE_CONTRACT = Contract(
                           CASE WHEN event_type = 'signup' THEN 'props:not number' END) END AS violations
   FROM events""")
 def _(spark, sf):
-    """Whole values keep the contract; the payload is a number except for sign-ups."""
+    """Whole values keep the contract; the payload is a number, but for sign-ups one in quotes."""
     number = F.get_json_object("props", "$.k")
-    props = F.when(F.col("event_type") == "signup", F.col("props")).otherwise(number)
+    quoted = F.concat(F.lit('"'), F.coalesce(number, F.lit("")), F.lit('"'))
+    props = F.try_parse_json(F.when(F.col("event_type") == "signup", quoted).otherwise(number))
     rows = load(spark, sf, "events").withColumn("props", props)
     valid, rejected = contracts.schema_contract_check(rows, LINE_CONTRACT)
     return valid.select("event_id", F.lit("").alias("violations")).unionByName(

@@ -37,7 +37,8 @@ def kline_closed_parse(messages: DataFrame, value: str = "value", names=SYMBOL_N
 
     return (
         messages.withColumn("_m", F.from_json(text, KLINE_MESSAGE))
-        .where(~text.contains('"result"') & (F.col("_m.e") == "kline") & (k("x") == "true"))
+        .where((F.col("_m.e") == "kline") & (k("x") == "true"))
+        .where(~F.coalesce(F.array_contains(F.json_object_keys(text), "result"), F.lit(False)))
         .select(
             F.col("_m.s").alias("symbol"),
             symbol_name_lookup("_m.s", names).alias("name"),

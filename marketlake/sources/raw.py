@@ -16,10 +16,25 @@ PATH_TO_SECOND = r"(\d{4})/(\d{2})/(\d{2})/(\d{2})/(\d{2})/(\d{2})"
 PATH_TO_HOUR = r"(\d{4})/(\d{2})/(\d{2})/(\d{2})"
 
 
+CORRUPT = "_corrupt"
+
+
 def hour_folder(root: str, entity: str, hour: datetime) -> str:
     return f"{root.rstrip('/')}/{entity}/{hour:%Y/%m/%d/%H}"
 
 
+def _raw_lines(
+    spark: SparkSession, root: str, entity: str, hour: datetime | None, schema: StructType | None
+) -> DataFrame:
+    fields = (schema or RAW[entity]).fields
+    reader = spark.read.schema(StructType([*fields, StructField(CORRUPT, StringType())]))
+    reader = reader.option("columnNameOfCorruptRecord", CORRUPT)
+    folder = f"{root.rstrip('/')}/{entity}" if hour is None else hour_folder(root, entity, hour)
+    rows = reader.option("recursiveFileLookup", True).json(folder)
+    # Spark refuses to read the broken text alone, so a field is always looked at as well
+    return rows.where(F.length(F.concat_ws("", F.col(fields[0].name).cast("string"))) >= 0)
+
+
 def raw_json_read(
     spark: SparkSession,
     root: str,
@@ -30,12 +45,28 @@ def raw_json_read(
     """Records of one hour folder, or of the whole tree of an entity.
 
     A line may hold one record or an array of records. The schema is always
-    given, so no pass over the files is spent on guessing it.
+    given, so no pass over the files is spent on guessing it. Broken lines are no
+    records; :func:`raw_json_rejects` has them.
+    """
+    rows = _raw_lines(spark, root, entity, hour, schema)
+    return rows.where(F.col(CORRUPT).isNull()).drop(CORRUPT)
+
+
+def raw_json_rejects(
+    spark: SparkSession,
+    root: str,
+    entity: str,
+    hour: datetime | None = None,
+    schema: StructType | None = None,
+) -> DataFrame:
+    """The lines that :func:`raw_json_read` leaves out, as ``line`` with their ``path``.
+
+    Not only what is no JSON, also lines with a value that its column cannot hold.
     """
-    reader = spark.read.schema(schema or RAW[entity])
-    if hour is None:
-        return reader.option("recursiveFileLookup", True).json(f"{root.rstrip('/')}/{entity}")
-    return reader.json(hour_folder(root, entity, hour))
+    rows = _raw_lines(spark, root, entity, hour, schema)
+    return rows.where(F.col(CORRUPT).isNotNull()).select(
+        F.col(CORRUPT).alias("line"), F.col("_metadata.file_path").alias("path")
+    )
 
 
 def path_timestamp(path: Column | str) -> Column:
@@ -67,9 +98,6 @@ def object_paths(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
-CORRUPT = "_corrupt"
-
-
 def json_topic_decode(
     messages: DataFrame, schema: StructType, value: str = "value"
 ) -> tuple[DataFrame, DataFrame]:

@@ -94,11 +94,13 @@ def test_top_k_of_a_hot_group(spark):
 
 def test_contract(spark):
     contract = Contract("c", {"a": "string", "n": "number", "i": "integer", "o": "string"}, frozenset({"o"}))
-    rows = [
-        ("x", "1.5", "1.0", None), ("x", "1", "2", "o"), (None, "1", "1", None), ("x", "text", "1", None),
-        ("x", "1", "1.5", None),
+    lines = [
+        '{"a":"x","n":1.5,"i":1.0}', '{"a":"x","n":1,"i":2,"o":"o"}', '{"n":1,"i":1}', '{"a":"x","n":"1","i":1}',
+        '{"a":"x","n":1,"i":1.5}',
     ]
-    df = spark.createDataFrame(rows, "a string, n string, i string, o string")
+    df = spark.createDataFrame([(x,) for x in lines], "v string").select(
+        *[F.variant_get(F.parse_json("v"), f"$.{n}", "variant").alias(n) for n in "anio"]
+    )
     valid, rejected = schema_contract_check(df, contract)
     assert valid.count() == 2
     assert sorted(r.violations for r in rejected.collect()) == [["a:missing"], ["i:not integer"], ["n:not number"]]

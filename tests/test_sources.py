@@ -23,7 +23,7 @@ def kline(symbol, closed, start):
 def test_only_closed_candles_of_known_messages(spark):
     start = 1_700_000_000_000
     lines = [kline("BTCUSDT", True, start), kline("ETHUSDT", False, start), '{"result":null,"id":1}',
-             '{"e":"trade","s":"BTCUSDT"}', '{"e":"kline","s":"X', kline("DOGEUSDT", True, start)]
+             kline("BTCUSDT", True, start)[:-1] + ', "result": 1}', '{"e":"trade","s":"BTCUSDT"}', '{"e":"kline","s":"X', kline("DOGEUSDT", True, start)[:-1] + ', "note": "\\"result\\""}']
     df = spark.createDataFrame([(x,) for x in lines], "value string")
     wire = payloads.kline_closed_parse(df)
     assert wire.schema.names == CANDLE.names
@@ -48,6 +48,54 @@ def test_arrays_and_lines_of_json(spark, tmp_path):
     assert newest == hour
 
 
+def test_broken_lines_are_rejected_not_read_as_nulls(spark, tmp_path):
+    hour = datetime(2024, 1, 31, 5)
+    folder = tmp_path / "comments" / "2024/01/31/05"
+    folder.mkdir(parents=True)
+    (folder / "a.json").write_text('{"id":"1"}\n{"id":"2","score":\n\ntext\n{"id":"3"}\n')
+    assert sorted(r.id for r in raw.raw_json_read(spark, str(tmp_path), "comments", hour).collect()) == ["1", "3"]
+    rejects = raw.raw_json_rejects(spark, str(tmp_path), "comments", hour).collect()
+    assert sorted(r.line for r in rejects) == ["text", '{"id":"2","score":']
+    assert all(r.path.endswith("a.json") for r in rejects)
+
+
+def test_dates_in_all_notations(spark):
+    day = datetime(2024, 1, 1)
+    wanted = {
+        "2024-01-01T05:06:07Z": (5, 6, 7, 0), "2024-01-01T05:06:07+00:00": (5, 6, 7, 0), "2024-01-01T05:06:07.123+00:00": (5, 6, 7, 123000),
+        "2024-01-01T05:06:07.123456Z": (5, 6, 7, 123456), "2024-01-01T05:06:07.123456789Z": (5, 6, 7, 123456), "2024-01-01T05:06:07": (5, 6, 7, 0),
+        "2024-01-01T05:06:07.123": (5, 6, 7, 123000), "2024-01-01T12:06:07+07:00": (5, 6, 7, 0), "2024-01-01T12:06:07+0700": (5, 6, 7, 0),
+        "2024-01-01T12:06:07+07": (5, 6, 7, 0), "2024-01-01 05:06:07": (5, 6, 7, 0), "2024-01-01T05:06Z": (5, 6, 0, 0), "2024-01-01": (0, 0, 0, 0),
+        "Mon, 01 Jan 2024 05:06 GMT": (5, 6, 0, 0), "Mon, 01 Jan 2024 05:06:07 GMT": (5, 6, 7, 0), "1 Jan 2024 12:06:07 +0700": (5, 6, 7, 0),
+        "Mon, 1 Jan 2024 05:06:07": (5, 6, 7, 0), " 2024-01-01T05:06:07Z ": (5, 6, 7, 0),
+    }
+    garbage = ["", "soon", "2024", "05:06", "2024-13-01", "2024-01-01T25:00:00Z", "Mon, 99 Jan 2024 05:06 GMT", "2024-01-01Tx", None]
+    df = spark.createDataFrame([(x,) for x in [*wanted, *garbage]], "v string")
+    rows = {r.v: r for r in df.select("v", times.parse_timestamp("v").alias("t"), times.unreadable_date("v").alias("u")).collect()}
+    for text_, (h, m, s, us) in wanted.items():
+        assert rows[text_].t == day.replace(hour=h, minute=m, second=s, microsecond=us), text_
+        assert not rows[text_].u
+    for text_ in garbage:
+        assert rows[text_].t is None and rows[text_].u == bool(text_)
+
+
+def test_texts_are_no_numbers_in_a_contract(spark):
+    from marketlake.schemas import Contract
+    from marketlake.sources.contracts import schema_contract_check
+
+    contract = Contract("x", {"a": "number", "b": "integer", "c": "string"})
+    rows = [(1, '{"a":1.5,"b":2,"c":"x"}'), (2, '{"a":"1.5","b":2,"c":"x"}'), (3, '{"a":1,"b":2.5,"c":"x"}'), (4, '{"a":1,"b":2,"c":3}')]
+    df = spark.createDataFrame(rows, "i int, v string").withColumn("v", F.parse_json("v"))
+    cells = df.select("i", *[F.variant_get("v", f"$.{n}", "variant").alias(n) for n in "abc"])
+    good, bad = schema_contract_check(cells, contract)
+    assert [r.i for r in good.collect()] == [1]
+    assert {r.i: r.violations for r in bad.collect()} == {2: ["a:not number"], 3: ["b:not integer"], 4: ["c:not string"]}
+    typed = spark.createDataFrame([(float("nan"), 1, "x"), (1.0, 1, "x")], "a double, b long, c string")
+    assert schema_contract_check(typed, contract)[0].count() == 1
+    text_ = spark.createDataFrame([("1.5", 1, "x")], "a string, b long, c string")
+    assert schema_contract_check(text_, contract)[0].count() == 0
+
+
 def test_no_path_names_a_time(spark):
     paths = spark.createDataFrame([("raw/news/readme",), ("raw/9999/99/99/99/x",)], "path string")
     assert raw.latest_path_partition(paths).first().latest is None
