@@ -4,19 +4,23 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .topk import top_k
+
+COPIES = 10_000  # of one row made by a task at a time
+
 
 def dedup_keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """One row per key: the first in ``order``, ties broken by all other columns.
 
     NULL keys are one group. Spark applies the limit of one row per key before
-    the shuffle, so a hot key sends one row per map task.
+    the shuffle, and the rows of a hot key that are left meet in heaps first, as in
+    :func:`top_k`.
     """
     rest = [c for c in df.columns if c not in {*keys, *order}]
-    first = Window.partitionBy(*keys).orderBy(*order, *rest)
-    return df.withColumn("_place", F.row_number().over(first)).where("_place = 1").drop("_place")
+    return top_k(df, keys, [F.col(c).asc() for c in [*order, *rest]], 1)
 
 
 def duplicate_report(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
@@ -25,7 +29,8 @@ def duplicate_report(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -
     Pass only the columns to report: all of them are grouped by. No window runs
     over a key, since one key may hold a third of the table.
     Equal rows are counted first, then each row is compared with the first row
-    of its key; the join may be split along hot keys.
+    of its key; the join may be split along hot keys. Copies are made in two steps
+    with a shuffle between, so those of one row come from many tasks.
     """
     keys, order = list(keys), [c for c in order if c not in keys]
     rest = [c for c in df.columns if c not in {*keys, *order}]
@@ -41,8 +46,11 @@ def duplicate_report(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -
     left_over = F.col("_copies") - F.when(row.eqNullSafe(F.col("_first")), 1).otherwise(0)
     return (
         copies.join(firsts, same_key)
-        .withColumn("_left_over", left_over.cast("int"))
+        .withColumn("_left_over", left_over)
         .where("_left_over > 0")
-        .withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_left_over"))))
+        .withColumn("_part", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("_left_over") - 1) / COPIES))))
+        .hint("rebalance", *[F.col(k) for k in keys], F.col("_part"))
+        .withColumn("_here", F.least(F.col("_left_over") - F.col("_part") * COPIES, F.lit(COPIES)))
+        .withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_here"))))
         .select(*df.columns, "key_rows")
     )

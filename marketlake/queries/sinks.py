@@ -12,6 +12,7 @@ from ..runtime import work_dir
 from ..schemas import RAW, SILVER
 from ..sinks import files, tables
 from ..sources.raw import json_topic_decode, raw_json_read
+from ..streaming import batches
 from .base import (
     COMMENTS_SQL,
     NEWS_SQL,
@@ -26,6 +27,7 @@ from .composites import CLEAN_COMMENTS, CLEAN_NEWS, silver_news
 
 HOURS = (datetime(2024, 1, 31, 5), datetime(2024, 1, 31, 6))
 NEWS_COLUMNS = ", ".join(RAW["news"].names)
+RAW_COMMENTS = ", ".join(RAW["comments"].names)
 
 
 @query("raw_landing_write", f"""
@@ -62,10 +64,13 @@ AS_OF = "2024-01-31 05:10:00"
 PARTS = "2024 AS year, 1 AS month, 31 AS day, 5 AS hour"
 
 
-@query("silver_append", f"""
+SILVER_CANDLES = f"""
   SELECT realtime_id, symbol, name, "interval", starttime, endtime, volume, quotevolume, open, close,
          highest, lowest, tag, {PARTS}
-  FROM (SELECT event_id AS realtime_id, * FROM ({raw_candles_sql()}))""")
+  FROM (SELECT event_id AS realtime_id, * FROM ({raw_candles_sql()}))"""
+
+
+@query("silver_append", SILVER_CANDLES)
 def _(spark, sf):
     root = work_dir(spark, "silver")
     clean = quality_jobs.realtime_quality(raw_candles(spark, sf)).clean
@@ -73,6 +78,40 @@ def _(spark, sf):
     return spark.read.schema(SILVER["realtime"]).parquet(path)
 
 
+@query("silver_stream", SILVER_CANDLES)
+def _(spark, sf):
+    """Candles from a topic to silver in several micro-batches, every one of them given twice."""
+    root, landing = work_dir(spark, "silver"), work_dir(spark, "topic")
+    clean = quality_jobs.realtime_quality(raw_candles(spark, sf)).clean
+    messages = files.topic_messages(clean)
+    messages.repartition(3).write.parquet(landing)
+    handle = tables.silver_handler("realtime", clean.schema, root, AS_OF)
+
+    def twice(batch, number):
+        handle(batch, number)
+        handle(batch, number)
+
+    stream = batches.new_file_pickup(spark, landing, messages.schema, files_per_batch=1)
+    batches.drain_available(stream, twice, work_dir(spark, "checkpoint"))
+    return spark.read.parquet(f"{root}/silver/realtime").select(*SILVER["realtime"].names)
+
+
+@query("raw_landing_stream", f"SELECT {RAW_COMMENTS} FROM ({COMMENTS_SQL})")
+def _(spark, sf):
+    """Comments landed from a stream under an hour folder, every micro-batch given twice."""
+    root, landing = work_dir(spark, "raw"), work_dir(spark, "topic")
+    rows = comments(spark, sf).select(*RAW["comments"].names)
+    rows.repartition(3).write.parquet(landing)
+
+    def twice(batch, number):
+        files.raw_landing_write(batch, root, "comments", HOURS[0], number)
+        files.raw_landing_write(batch, root, "comments", HOURS[0], number)
+
+    stream = batches.new_file_pickup(spark, landing, rows.schema, files_per_batch=1)
+    batches.drain_available(stream, twice, work_dir(spark, "checkpoint"))
+    return raw_json_read(spark, root, "comments", HOURS[0])
+
+
 def dim_news_rows(spark, sf):
     rows = silver_news(spark, sf).withColumns(
         {

@@ -10,10 +10,19 @@ from pyspark.sql import functions as F
 from ..sources.raw import hour_folder
 
 
-def raw_landing_write(df: DataFrame, root: str, entity: str, as_of: datetime) -> str:
-    """Append a batch to the hour folder of its entity; Spark names the files uniquely."""
+def raw_landing_write(
+    df: DataFrame, root: str, entity: str, as_of: datetime, batch: int | None = None
+) -> str:
+    """Append rows to the hour folder of their entity; Spark names the files uniquely.
+
+    A numbered ``batch`` of a stream lands in a folder of its own below the hour, which it
+    replaces when it comes again.
+    """
     folder = hour_folder(root, entity, as_of)
-    df.write.mode("append").json(folder)
+    if batch is None:
+        df.write.mode("append").json(folder)
+    else:
+        df.write.mode("overwrite").json(f"{folder}/batch-{batch}")
     return folder
 
 

@@ -2,17 +2,19 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from datetime import datetime
 from functools import reduce
 from operator import and_
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ..operators.stats24h import max_cache_upsert
 from ..plans.silver import to_silver
 from ..schemas import GOLD, PARTITIONED_BY, SILVER
+from ..sources.raw import json_topic_decode
 
 
 def _write(df: DataFrame, path: str, partition_by: Sequence[str], mode: str) -> None:
@@ -24,14 +26,41 @@ def _write(df: DataFrame, path: str, partition_by: Sequence[str], mode: str) ->
 
 
 def silver_append(
-    df: DataFrame, entity: str, root: str, as_of: datetime | str | None = None
+    df: DataFrame,
+    entity: str,
+    root: str,
+    as_of: datetime | str | None = None,
+    batch: int | None = None,
 ) -> str:
-    """Append checked records to a silver table, partitioned by hour of ingest."""
+    """Append checked records to a silver table, partitioned by hour of ingest.
+
+    All rows have the same hour, so they are written where they are, without a
+    shuffle. A numbered ``batch`` of a stream has a folder of its own and replaces it
+    when it comes again; a table takes numbered batches or plain ones, not both.
+    """
     path = f"{root.rstrip('/')}/silver/{entity}"
-    _write(to_silver(df, entity, as_of), path, PARTITIONED_BY[f"silver.{entity}"], "append")
+    rows = to_silver(df, entity, as_of).write.partitionBy(*PARTITIONED_BY[f"silver.{entity}"])
+    if batch is None:
+        rows.mode("append").parquet(path)
+    else:
+        rows.mode("overwrite").parquet(f"{path}/batch={batch}")
     return path
 
 
+def silver_handler(
+    entity: str, schema: StructType, root: str, as_of: datetime | str | None = None, value: str = "value"
+) -> Callable[[DataFrame, int], None]:
+    """What a stream of a topic runs per micro-batch: messages decoded and appended to silver,
+    broken ones to ``rejects``, both under the number of the batch."""
+
+    def handle(messages: DataFrame, number: int) -> None:
+        good, broken = json_topic_decode(messages, schema, value)
+        silver_append(good, entity, root, as_of, number)
+        broken.write.mode("overwrite").parquet(f"{root.rstrip('/')}/rejects/{entity}/batch={number}")
+
+    return handle
+
+
 def missing_rows(df: DataFrame, stored: DataFrame, key: Sequence[str]) -> DataFrame:
     """Rows whose key is not stored yet; NULL keys compare as equal."""
     taken = stored.select(*[F.col(k).alias(f"_stored_{k}") for k in key])
