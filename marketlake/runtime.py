@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import sys
 import tempfile
 import uuid
@@ -34,7 +36,8 @@ def prepare(spark: SparkSession) -> SparkSession:
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors see, named by ``spark.checkpoint.dir``.
 
-    Only a local session may go without it and gets a temporary folder.
+    Only a local session may go without it and gets a temporary folder, which goes
+    when the session's program ends.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
@@ -43,7 +46,9 @@ def shared_dir(spark: SparkSession) -> str:
     if context.getCheckpointDir() is None:
         if not context.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="marketlake-"))
+        folder = tempfile.mkdtemp(prefix="marketlake-")
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
+        context.setCheckpointDir(folder)
     return context.getCheckpointDir()
 
 
