@@ -14,7 +14,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..runtime import durable
@@ -22,7 +22,7 @@ from .arrow import add_columns
 
 META = ("lang", "source", "n_chars")
 HASHED, SOURCES = 64, 32
-MAX_LABELS, MAX_PSEUDO, ROUNDS, SURE = 20_000, 10_000, 2, 0.97
+MAX_LABELS, MAX_PSEUDO, ROUNDS, SURE = 10_000, 4_000, 2, 0.97
 HELD = 4  # every fourth label is held out
 
 # Kinds of bytes: lower, upper, digit, beyond ASCII, white space, sentence marks, other marks.
@@ -150,16 +150,23 @@ def _views(batch: pa.RecordBatch, text: str) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _featured(df: DataFrame, id: str, text: str) -> DataFrame:
-    """The id, whether it has a label, the label, and both views as bytes."""
+    """The id and both views as bytes."""
 
     def run(batch: pa.RecordBatch) -> list[pa.Array]:
         a, b = _views(batch, text)
         return [pa.array([r.tobytes() for r in x], pa.binary()) for x in (a, b)]
 
-    own = df.select(F.col(id).alias("_id"), "_label", text, *META)
+    own = df.select(F.col(id).alias("_id"), text, *META)
     return add_columns(own, "_text_view binary, _meta_view binary", run, drop=(text, *META))
 
 
+def _smallest(df: DataFrame, order: Column, share: float) -> DataFrame:
+    """About this share of the rows: those whose hash is small."""
+    if share >= 1.0:
+        return df
+    return df.where(order <= F.lit(int(-(2**63) + share * 2**64)))
+
+
 def train(
     docs: DataFrame,
     labels: DataFrame,
@@ -171,23 +178,27 @@ def train(
     max_pseudo: int = MAX_PSEUDO,
     sure: float = SURE,
 ) -> Model:
-    """Trains on at most ``max_labels`` labelled documents, the first by a hash of their id, of
-    which every fourth is held out for calibration, and in each round on at most ``max_pseudo``
-    pseudo-labels of each kind and view. Every document without a label is scored in every round;
-    one is a candidate if a view gives it ``sure`` or more, and the surest are taken.
+    """Trains on at most ``max_labels`` labelled documents, those with the smallest hashes of
+    their ids, of which every fourth is held out for calibration, and in each round on about
+    ``max_pseudo`` pseudo-labels of each kind and view at most. Every other document is scored in
+    every round; one is a candidate if a view gives it ``sure`` or more, and of more candidates
+    those with the smallest hashes are taken.
 
     Several labels of an id count by their mean, from 0.5 on as good; null ids and labels are
     left out. Without labels of both kinds the model is empty and finds every document good.
+    Texts are read once; the views are written and joined with the bounded sample of labels by
+    broadcast, so nothing is shuffled.
     """
+    order = F.xxhash64("_id")
     known = (
         labels.where(F.col(id).isNotNull() & F.col(label).isNotNull())
-        .groupBy(F.col(id).alias("_key"))
+        .groupBy(F.col(id).alias("_id"))
         .agg((F.avg(label) >= 0.5).cast("double").alias("_label"))
     )
-    labelled = docs.join(known, F.col(id) == F.col("_key"), "left")
-    rows = durable(_featured(labelled, id, text))
-    order = F.xxhash64("_id")
-    take = rows.where("_label IS NOT NULL").orderBy(order, "_id").limit(max_labels).collect()
+    share = max_labels / max(known.count(), 1)
+    known = durable(_smallest(known, order, share))
+    rows = durable(_featured(docs, id, text)).join(F.broadcast(known), "_id", "left")
+    take = sorted(rows.where("_label IS NOT NULL").withColumn("_order", order).collect(), key=lambda r: (r["_order"], r["_id"], r["_text_view"]))
     y = np.array([r["_label"] for r in take])
     if len(np.unique(y)) < 2:
         return Model(None, None, np.zeros(3))
@@ -206,12 +217,21 @@ def train(
             return [pa.array(one), pa.array(two)]
 
         scored = add_columns(rows.where("_label IS NULL"), "_one double, _two double", score)
-        taught: dict[str, list] = {}
-        for teacher in ("_one", "_two"):
-            for good, chance in ((1.0, F.col(teacher)), (0.0, 1.0 - F.col(teacher))):
-                pupil = "_meta_view" if teacher == "_one" else "_text_view"
-                best = scored.where(chance >= sure).orderBy(F.desc(F.round(chance, 3)), order, "_id").limit(max_pseudo)
-                taught.setdefault(pupil, []).extend((good, r[pupil]) for r in best.select(pupil).collect())
+        sides = [  # teacher's verdict, pupil's view, label
+            (F.col("_one") >= sure, "_meta_view", 1.0),
+            (F.col("_one") <= 1.0 - sure, "_meta_view", 0.0),
+            (F.col("_two") >= sure, "_text_view", 1.0),
+            (F.col("_two") <= 1.0 - sure, "_text_view", 0.0),
+        ]
+        counts = scored.agg(*[F.count(F.when(certain, 1)).alias(f"n{k}") for k, (certain, _, _) in enumerate(sides)]).first()
+        chosen = None
+        for k, (certain, pupil, good) in enumerate(sides):
+            some = _smallest(scored.where(certain), order, max_pseudo / max(counts[f"n{k}"], 1))
+            some = some.select(F.lit(pupil).alias("pupil"), F.lit(good).alias("good"), order.alias("at"), F.col(pupil).alias("view"))
+            chosen = some if chosen is None else chosen.union(some)
+        taught: dict[str, list] = {"_text_view": [], "_meta_view": []}
+        for r in sorted(chosen.collect(), key=lambda r: (r["pupil"], r["at"], r["good"], r["view"])):
+            taught[r["pupil"]].append((r["good"], r["view"]))
 
         def more(x: np.ndarray, found: list) -> tuple[np.ndarray, np.ndarray]:
             if not found:
