@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import functions as F
 
 from ..functions.times import partition_parts
 from ..operators import dims
 from ..operators.indicators import indicator_series
 from ..operators.sentiment import sentiment_labels
-from ..plans import gold, quality_jobs
+from ..plans import gold, hour, quality_jobs
 from ..plans.silver import to_silver
-from ..runtime import durable
-from ..schemas import PARTITION_COLUMNS
+from ..runtime import durable, work_dir
+from ..schemas import GOLD, PARTITION_COLUMNS
+from ..sinks.files import raw_landing_write
 from .base import (
     COINS_SQL,
     COMMENTS_SQL,
@@ -119,6 +122,22 @@ def _(spark, sf):
     return gold.news_to_gold(silver_news(spark, sf), dims.dim_topic(spark), max_id=500)
 
 
+@query("news_hour", f"""
+  SELECT 500 + row_number() OVER (ORDER BY n.published_ts, n.url, n.title) AS id, t.id_topic, n.domain,
+         n.title, n.url, n.text, n.published_ts AS published,
+         strftime(n.published_ts, '%Y%m%d') AS timestamp_id, n.author, n.source,
+         2024 AS year, 1 AS month, 31 AS day, 5 AS hour
+  FROM ({CLEAN_NEWS}) n LEFT JOIN ({TOPICS_SQL}) t ON t.topic = {TOPIC}""")
+def _(spark, sf):
+    """An hour of news from its raw folder to gold, run twice: gold holds every url once."""
+    root, at = work_dir(spark, "hour"), datetime(2024, 1, 31, 5)
+    raw_landing_write(news(spark, sf), f"{root}/raw", "news", at)
+    topics = dims.dim_topic(spark)
+    result = hour.news_hour(spark, root, at, topics, max_id=500)
+    hour.news_hour(spark, root, at, topics, max_id=500)
+    return spark.read.schema(GOLD["dim_news"]).parquet(result.gold)
+
+
 def silver_comments(spark, sf):
     clean = quality_jobs.comments_quality(comments(spark, sf)).clean
     return by_own_time(to_silver(clean, "comments", "2024-01-01"), "created_utc")

@@ -36,10 +36,10 @@ def topic_messages(df: DataFrame) -> DataFrame:
     return df.select(F.to_json(F.struct(*df.columns)).alias("value"))
 
 
-def topic_json_write(df: DataFrame, fmt: str, options: dict[str, str]) -> None:
+def topic_json_write(df: DataFrame, fmt: str, options: dict[str, str], mode: str = "append") -> None:
     """Send the rows to a topic (``kafka``, where its connector is deployed) or to text files.
 
     The executors write; nothing passes through the driver.
     """
     writer = topic_messages(df).write.format(fmt).options(**options)
-    (writer if fmt == "kafka" else writer.mode("append")).save()
+    (writer if fmt == "kafka" else writer.mode(mode)).save()
