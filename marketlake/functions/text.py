@@ -2,17 +2,26 @@
 
 from __future__ import annotations
 
+import html
 import re
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from .times import column
 
 # Page parts that never belong to the article.
 SKIPPED_BLOCKS = (
     "script", "style", "noscript", "template", "svg", "iframe",
-    "nav", "header", "footer", "aside", "form", "figure",
+    "nav", "header", "footer", "aside", "figure",
+)
+# Tags that end a line of text.
+LINE_TAGS = "p|br|div|section|article|main|h[1-6]|li|ul|ol|tr|table|blockquote|pre|hr"
+_BLOCKS = (
+    "script", "style", "noscript", "template", "svg", "iframe",
+    "nav", "header", "footer", "aside", "figure",
 )
 # Tags that end a line of text.
 LINE_TAGS = "p|br|div|section|article|main|h[1-6]|li|ul|ol|tr|table|blockquote|pre|hr"
@@ -53,10 +62,10 @@ def url_domain(url: Column | str) -> Column:
     return F.try_parse_url(column(url), F.lit("AUTHORITY"))
 
 
-def unescape(text: Column) -> Column:
-    for reference, character in CHARACTER_REFERENCES:
-        text = F.replace(text, F.lit(reference), F.lit(character))
-    return text
+@F.pandas_udf(StringType())
+def unescape(text: pd.Series) -> pd.Series:
+    """All named and numeric character references undone, hard blanks as blanks."""
+    return text.map(lambda t: html.unescape(t).replace("\xa0", " ") if t and "&" in t else t)
 
 
 def _tidy(text: Column) -> Column:
@@ -66,20 +75,20 @@ def _tidy(text: Column) -> Column:
     return F.nullif(F.btrim(text, F.lit(" \n")), F.lit(""))
 
 
-def with_article_text(df: DataFrame, html: str, name: str) -> DataFrame:
+def with_article_text(df: DataFrame, page: str, name: str) -> DataFrame:
     """Adds the main text of a page, one line per block; NULL when nothing is left.
 
     Each step is a column of its own, so that no pattern runs twice over a page.
     """
-    df = df.withColumn("_kept", F.regexp_replace(html, NOISE_PATTERN, ""))
+    df = df.withColumn("_kept", F.regexp_replace(page, NOISE_PATTERN, ""))
     found = [F.nullif(F.regexp_extract("_kept", p, 1), F.lit("")) for p in ARTICLE_PATTERNS]
     df = df.withColumn("_body", F.coalesce(*found, "_kept"))
     lines = F.regexp_replace(F.regexp_replace("_body", LINE_PATTERN, "\n"), TAG_PATTERN, "")
     return df.withColumn(name, _tidy(unescape(lines))).drop("_kept", "_body")
 
 
-def page_title(html: Column | str) -> Column:
-    found = F.regexp_extract(column(html), TITLE_PATTERN, 1)
+def page_title(page: Column | str) -> Column:
+    found = F.regexp_extract(column(page), TITLE_PATTERN, 1)
     return _tidy(unescape(F.regexp_replace(found, TAG_PATTERN, "")))
 
 

