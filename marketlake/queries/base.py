@@ -10,7 +10,7 @@ from pyspark.sql.types import DecimalType, TimestampType
 
 from ..functions.times import ISO_SECONDS
 from ..operators.bars import INTERVALS, kline_resample
-from ..operators.dims import numbered_names
+from ..operators.keys import surrogate_key
 from ..operators.slices import Series
 from ..runtime import prepare
 
@@ -184,7 +184,7 @@ COMMENTS_SQL = f"""
 # --- coins: one per event type -----------------------------------------------
 def coins(spark: SparkSession, sf_dir: str) -> DataFrame:
     names = load(spark, sf_dir, "events").select(F.col("event_type").alias("name")).distinct()
-    return numbered_names(names, "name", "coin_id").select(
+    return surrogate_key(names, ["name"], id="coin_id").select(
         "coin_id", F.upper("name").alias("symbol"), "name"
     )
 

@@ -143,7 +143,7 @@ def _(spark, sf):
   FROM (SELECT DISTINCT source AS topic FROM documents)""")
 def _(spark, sf):
     topics = load(spark, sf, "documents").select(F.col("source").alias("topic")).distinct()
-    return dims.numbered_names(topics, "topic", "id_topic")
+    return surrogate_key(topics, ["topic"], id="id_topic")
 
 
 # --- maximum cache: a customer is a symbol, an order a candle ------------------------
