@@ -30,18 +30,19 @@ def _stars(edges: DataFrame, large: bool) -> DataFrame:
 def components(links: DataFrame) -> DataFrame:
     """``node`` and ``component`` (its smallest member) of every node of ``links`` (u, v).
 
-    Large and small stars in turn until nothing changes: the steps grow with the logarithm of
-    the nodes. Every step is written, so no step is computed twice and a lost executor costs
-    one step. The least neighbour of a node is found before rows meet, and the join back
-    lets Spark split the node with most neighbours.
+    Large and small stars in turn until every node hangs under a root: the steps grow with the
+    logarithm of the nodes. Every step is written, so no step is computed twice and a lost
+    executor costs one step. The least neighbour of a node is found before rows meet, and the
+    join back lets Spark split the node with most neighbours.
     """
     edges = durable(links.select("u", "v").where(F.col("u") != F.col("v")).distinct())
-    last = None
     while True:
         edges = durable(_stars(_stars(edges, True), False))
-        state = edges.agg(F.count("*").alias("n"), F.sum(F.hash("u", "v").cast("long")).alias("h")).first()
-        if last == tuple(state):
-            break
-        last = tuple(state)
+        ends = edges.select(F.col("u").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down")).union(
+            edges.select("v", F.lit(0), F.lit(1))
+        )
+        roles = ends.groupBy("node").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
+        if roles.where((F.col("up") > 1) | ((F.col("up") > 0) & (F.col("down") > 0))).isEmpty():
+            break  # every node hangs under one other, and nothing hangs under it
     roots = edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
     return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).union(roots)

@@ -31,7 +31,8 @@ REGISTERS = BAND * BANDS
 MULTIPLY = _odd(REGISTERS, 7)
 PERCENT = 85
 SURE = 0.25  # an estimate so far below the threshold rules a pair out: over five deviations
-PIVOTS = 64
+SAME = 0.3  # so does a share of equal registers so far below it
+PIVOTS, CHUNK = 1024, 512  # members of a bucket that meet at a time
 
 
 def registers(shingles: np.ndarray) -> np.ndarray:
@@ -101,37 +102,44 @@ class Sketches:
 def sketch(df: DataFrame, id: str, text: str) -> Sketches:
     """Sketches every whole text, and gathers documents with equal sets in classes.
 
-    ``rows``: id, n_shingles, set (128 bits of the sorted set; null if empty). ``classes``: rep
-    (a number), set, n, regs, bands, id and mark of a document that has the set. Equal sets
+    ``rows``: id, mark of the text, n_shingles, set (128 bits of the sorted set; null if empty). ``classes``: rep
+    (a number), set, n, regs, id and mark of a document that has the set. Equal sets
     meet after their map tasks have kept one each.
     """
 
     def sketched(batch: pa.RecordBatch) -> list[pa.Array]:
-        sizes, names, sketches = [], [], np.zeros((batch.num_rows, REGISTERS), np.uint16)
-        for k, own in enumerate(shingle_sets(*utf8(batch.column("_text")))):
+        sizes, names, sketches = [], [], []
+        for own in shingle_sets(*utf8(batch.column("_text"))):
             sizes.append(len(own))
             names.append(hashlib.blake2b(own.tobytes(), digest_size=16).digest() if len(own) else None)
-            sketches[k] = registers(own)
-        bands = band_keys(sketches)
-        return [
-            pa.array(sizes, pa.int64()),
-            pa.array(names, pa.binary()),
-            pa.array([r.tobytes() for r in sketches], pa.binary()),
-            pa.array(list(bands), pa.list_(pa.int64())),
-        ]
+            sketches.append(registers(own).tobytes() if len(own) else None)
+        return [pa.array(sizes, pa.int64()), pa.array(names, pa.binary()), pa.array(sketches, pa.binary())]
 
     own = df.select(F.col(id).alias("_id"), F.col(text).alias("_text"), F.xxhash64(text).alias("_mark"))
-    rows = durable(
-        add_columns(own, "n_shingles long, set binary, regs binary, bands array<long>", sketched, drop=("_text",))
-    )
+    rows = durable(add_columns(own, "n_shingles long, set binary, regs binary", sketched, drop=("_text",)))
     classes = durable(
         rows.where("n_shingles > 0")
         .dropDuplicates(["set"])
-        .select(
-            F.monotonically_increasing_id().alias("rep"), "set", F.col("n_shingles").alias("n"), "regs", "bands", "_id", "_mark"
-        )
+        .select(F.monotonically_increasing_id().alias("rep"), "set", F.col("n_shingles").alias("n"), "regs", "_id", "_mark")
     )
-    return Sketches(rows.select("_id", "n_shingles", "set"), classes)
+    return Sketches(rows.select("_id", "_mark", "n_shingles", "set"), classes)
+
+
+def _matrix(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint16).reshape(-1, REGISTERS)
+
+
+def _banded(classes: DataFrame) -> DataFrame:
+    """rep and key of every band of every class."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                reps = np.repeat(batch.column("rep").to_numpy(), BANDS)
+                keys = band_keys(_matrix(batch.column("regs"))).reshape(-1)
+                yield pa.RecordBatch.from_arrays([pa.array(reps), pa.array(keys)], ["rep", "key"])
+
+    return classes.select("rep", "regs").mapInArrow(run, "rep long, key long")
 
 
 def _likely(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
@@ -143,9 +151,7 @@ def _likely(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     def likely(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
-                a, b = (
-                    np.frombuffer(b"".join(batch.column(f"regs_{s}").to_pylist()), np.uint16).reshape(-1, REGISTERS) for s in "ab"
-                )
+                a, b = _matrix(batch.column("regs_a")), _matrix(batch.column("regs_b"))
                 na, nb = (batch.column(f"n_{s}").to_numpy().astype(float) for s in "ab")
                 keep = similarity(a, b, na, nb) >= percent / 100 - SURE
                 yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], ["a", "b"]).filter(pa.array(keep))
@@ -153,16 +159,21 @@ def _likely(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     return sized.mapInArrow(likely, "a long, b long")
 
 
+def _texts(reps: DataFrame, classes: DataFrame, texts: DataFrame) -> DataFrame:
+    """rep and the text of one document of it, found by its id and the mark of its text."""
+    marks = reps.distinct().join(classes.select("rep", "_id", "_mark"), "rep")
+    found = marks.join(texts, (marks["_mark"] == texts["_mark"]) & marks["_id"].eqNullSafe(texts["_id"]))
+    return found.select("rep", "_text").dropDuplicates(["rep"])
+
+
+def _alike(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
+    common = len(np.intersect1d(x, y, assume_unique=True))
+    return 100 * common >= percent * (len(x) + len(y) - common)
+
+
 def _verified(pairs: DataFrame, classes: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     """Those of ``pairs`` that reach the similarity on their full shingle sets."""
-    wanted = pairs.select(F.col("a").alias("rep")).union(pairs.select(F.col("b").alias("rep"))).distinct()
-    marks = wanted.join(classes.select("rep", "_id", "_mark"), "rep")
-    # one text per class, found by id and mark of the document that stands for it
-    found = durable(
-        marks.join(texts, (marks["_mark"] == texts["_mark"]) & marks["_id"].eqNullSafe(texts["_id"]))
-        .select("rep", "_text")
-        .dropDuplicates(["rep"])
-    )
+    found = durable(_texts(pairs.select(F.col("a").alias("rep")).union(pairs.select("b")), classes, texts))
     side = lambda s: found.select(F.col("rep").alias(s), F.col("_text").alias(f"text_{s}"))
     both = pairs.join(side("a"), "a").join(side("b"), "b")
 
@@ -179,10 +190,8 @@ def _verified(pairs: DataFrame, classes: DataFrame, texts: DataFrame, percent: i
             for at in range(0, batch.num_rows, 64):
                 part = batch.slice(at, 64)
                 a, b = part.column("a").to_pylist(), part.column("b").to_pylist()
-                keep = []
-                for x, y in zip(sets(a, part.column("text_a")), sets(b, part.column("text_b")), strict=True):
-                    common = len(np.intersect1d(x, y, assume_unique=True))
-                    keep.append(100 * common >= percent * (len(x) + len(y) - common))
+                pairs = zip(sets(a, part.column("text_a")), sets(b, part.column("text_b")), strict=True)
+                keep = [_alike(x, y, percent) for x, y in pairs]
                 while len(known) > 256:
                     known.popitem(last=False)
                 yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"]).filter(
@@ -192,72 +201,151 @@ def _verified(pairs: DataFrame, classes: DataFrame, texts: DataFrame, percent: i
     return both.mapInArrow(confirm, "a long, b long")
 
 
+BLOCK = "key long, chunk long, rep long, comp long, place int, pivot boolean, n long, regs binary"
+
+
+def _candidates(block: pa.Table, percent: int) -> Iterator[tuple[int, np.ndarray]]:
+    """Of a block its pivots, each with the members it has to be compared with: of another
+    component, not met before, of a fitting size, likely enough, and in no earlier band together."""
+    comp, place, n = (block.column(c).to_numpy() for c in ("comp", "place", "n"))
+    regs = _matrix(block.column("regs"))
+    pivot = block.column("pivot").to_numpy()
+    band = int(np.flatnonzero(band_keys(regs[:1])[0] == block.column("key")[0].as_py())[0])
+    members = np.flatnonzero(~pivot)
+    left, right = [], []
+    for i in np.flatnonzero(pivot):
+        fit = (comp[members] != comp[i]) & (place[members] > place[i])
+        fit &= 100 * np.minimum(n[members], n[i]) >= percent * np.maximum(n[members], n[i])
+        able = members[fit]
+        if len(able):
+            equal = regs[able] == regs[i]
+            near = equal.mean(axis=1) >= percent / 100 - SAME
+            if band:
+                near &= ~equal.reshape(len(able), BANDS, BAND)[:, :band].all(axis=2).any(axis=1)
+            right.append(able[near])
+            left.append(np.full(len(right[-1]), i))
+    if not left:
+        return
+    a, b = np.concatenate(left), np.concatenate(right)
+    likely = [
+        similarity(regs[a[k : k + 8192]], regs[b[k : k + 8192]], n[a[k : k + 8192]].astype(float), n[b[k : k + 8192]].astype(float))
+        for k in range(0, len(a), 8192)
+    ]
+    keep = np.concatenate([np.zeros(0), *likely]) >= percent / 100 - SURE
+    a, b = a[keep], b[keep]
+    cuts = np.flatnonzero(np.diff(a)) + 1
+    for i, able in zip(np.split(a, cuts), np.split(b, cuts), strict=True):
+        if len(i):
+            yield int(i[0]), able
+
+
+def _met(open_: DataFrame, classes: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
+    """Links among the rows of blocks (BLOCK): first by sketch alone, which leaves those rows
+    that have a likely partner, then on the sets of these. A block links every two of its
+    components once at most."""
+
+    def needed(block: pa.Table) -> pa.Table:
+        use: set[int] = set()
+        for i, able in _candidates(block, percent):
+            use.add(i)
+            use.update(able.tolist())
+        return block.take(pa.array(sorted(use), pa.int64()))
+
+    def links(block: pa.Table) -> pa.Table:
+        sets: dict[int, np.ndarray] = {}
+        root: dict[int, int] = {}
+
+        def find(x: int) -> int:
+            while root.setdefault(x, x) != x:
+                x = root[x]
+            return x
+
+        def own(k: int) -> np.ndarray:
+            if k not in sets:
+                sets[k] = next(shingle_sets(*utf8(text.slice(k, 1))))
+            return sets[k]
+
+        text = block.column("_text").combine_chunks()
+        comp, rep = block.column("comp").to_pylist(), block.column("rep").to_pylist()
+        out: list[tuple[int, int]] = []
+        for i, able in _candidates(block, percent):
+            for j in able.tolist():
+                if find(comp[i]) != find(comp[j]) and _alike(own(i), own(j), percent):
+                    root[find(comp[i])] = find(comp[j])
+                    out.append((rep[i], rep[j]))
+        return pa.table({"a": pa.array([x for x, _ in out], pa.int64()), "b": pa.array([x for _, x in out], pa.int64())})
+
+    rows = durable(open_.groupBy("key", "chunk").applyInArrow(needed, BLOCK))
+    found = _texts(rows.select("rep"), classes, texts)
+    return rows.join(found, "rep").groupBy("key", "chunk").applyInArrow(links, "a long, b long")
+
+
 def linked(df: DataFrame, sketches: Sketches, id: str, text: str, percent: int = PERCENT) -> DataFrame:
     """``node`` and ``component`` of the classes that are linked with another one.
 
-    A bucket is what agrees in a band. First every class is compared with the smallest of its
-    bucket. Buckets that are then in one component are done: their links would add nothing. In
-    the others members of the rarest components are compared with all members of other
-    components, up to 64 of them a round, and leave the bucket; rounds go on until every bucket
-    is done. So no bucket has all its pairs written out, and each pair that could join two
-    components is looked at.
+    A bucket is what agrees in a band. First every class is compared with one of its bucket: the
+    one that shares its buckets with most, which of edited copies is the one nearest to all.
+    Buckets that are then in one component are done: their links would add nothing. In the
+    others up to 1024 pivots, members of the rarest components, meet all members of other
+    components, 512 at a time, and leave the bucket. Rounds go on until every bucket is done. So
+    no bucket has all its pairs written out, and each pair that could join two components is
+    looked at, in the first band it shares.
     """
-    spark = df.sparkSession
     classes = sketches.classes
     texts = df.select(F.col(id).alias("_id"), F.col(text).alias("_text"), F.xxhash64(text).alias("_mark"))
-    bands = classes.select("rep", F.explode("bands").alias("key"))
-    sizes = bands.groupBy("key").agg(F.count("*").alias("n"), F.min("rep").alias("least")).where("n > 1")
-    members = durable(bands.join(sizes.select("key", "least"), "key"))
-    pairs = members.where("rep <> least").select(F.col("rep").alias("a"), F.col("least").alias("b")).distinct()
-    open_ = members.select("key", "rep")
-    links = spark.createDataFrame([], "a long, b long")
-    first = True
+    bands = durable(_banded(classes))
+    sizes = bands.groupBy("key").agg(F.count("*").alias("of")).where("of > 1")
+    members = durable(bands.join(sizes, "key"))
+    central = members.groupBy("rep").agg(F.sum("of").alias("weight"))
+    weighed = members.select("key", "rep").join(central, "rep")
+    best = durable(
+        weighed.groupBy("key").agg(F.max(F.struct("weight", "rep")).alias("top")).select("key", F.col("top.rep").alias("best"))
+    )
+    pairs = members.join(best, "key").where("rep <> best").select(F.col("rep").alias("a"), F.col("best").alias("b")).distinct()
+    likely = durable(_likely(pairs, classes, percent))
+    links = durable(_verified(likely, classes, texts, percent))
+    # the best of each bucket has met all others
+    open_ = members.select("key", "rep").join(best, "key").where("rep <> best").select("key", "rep")
+    found = None
     while True:
-        likely = durable(_likely(pairs, classes, percent))
-        links = links.union(durable(_verified(likely, classes, texts, percent)))
-        found = components(links.select(F.col("a").alias("u"), F.col("b").alias("v")))
+        edges = links.select(F.col("a").alias("u"), F.col("b").alias("v"))
+        if found is not None:  # what is known already, as stars
+            edges = edges.union(found.select(F.col("node").alias("u"), F.col("component").alias("v")))
+        found = components(edges)
         named = (
             open_.join(found, open_["rep"] == found["node"], "left")
             .select("key", "rep", F.coalesce("component", "rep").alias("comp"))
         )
-        parts = named.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.min("rep").alias("least"))
-        parts = parts.where("low <> high")
-        if first:  # the smallest of each bucket has met all others
-            parts = parts.select(F.col("key").alias("k"), F.col("least").alias("gone"))
-            left = named.join(parts, F.col("key") == F.col("k")).where(F.col("rep") != F.col("gone")).select("key", "rep", "comp")
-        else:
-            left = named.join(parts.select(F.col("key").alias("k")), F.col("key") == F.col("k"), "left_semi")
-        left = durable(left)
-        first = False
-        counts = left.groupBy("key", "comp").agg(F.count("*").alias("of"))
-        several = counts.groupBy("key").agg(F.count("*").alias("parts")).where("parts > 1").select("key")
-        ranked = left.join(several, "key").join(counts, ["key", "comp"])
-        order = Window.partitionBy("key").orderBy("of", "rep")
-        pivots = durable(ranked.withColumn("place", F.row_number().over(order)).where(F.col("place") <= PIVOTS))
+        parts = named.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.count("*").alias("of"))
+        parts = parts.where("low <> high").select("key", F.ceil(F.col("of") / CHUNK).alias("chunks"))
+        left = durable(named.join(parts, "key"))
+        counts = left.groupBy("key", "comp").agg(F.count("*").alias("alike"))
+        order = Window.partitionBy("key").orderBy("alike", "rep")
+        pivots = durable(
+            left.join(counts, ["key", "comp"]).withColumn("place", F.row_number().over(order)).where(F.col("place") <= PIVOTS)
+        )
         if pivots.isEmpty():
             return found
-        pivot = pivots.select("key", F.col("rep").alias("b"), F.col("comp").alias("comp_b"), F.col("place").alias("place_b"))
-        placed = left.join(several, "key").join(pivots.select("key", "rep", "place"), ["key", "rep"], "left")
-        pairs = (
-            placed.join(pivot, "key")
-            .where((F.col("comp") != F.col("comp_b")) & (F.coalesce("place", F.lit(PIVOTS + 1)) > F.col("place_b")))
-            .select(F.greatest("rep", "b").alias("a"), F.least("rep", "b").alias("b"))
-            .distinct()
-        )
-        open_ = durable(placed.where("place IS NULL").select("key", "rep"))
-
-
-def near_duplicates(df: DataFrame, id: str = "doc_id", text: str = "text", percent: int = PERCENT) -> DataFrame:
-    """One row per row of ``df``: the id, ``n_shingles`` (distinct runs of five words; with
-    fewer words the whole text as one), ``component_id`` (the smallest id reachable by links)
-    and ``kept`` (the id is that one).
-
-    Two texts are linked if 100 * common >= percent * union of their shingles. Words are what
-    stands between white space, with A-Z as a-z. Null, empty and wordless texts have 0 shingles,
-    no links and stay; equal texts are linked. Repeated rows share a component, and all rows with
-    its smallest id are kept. Rows without id are named by the other members of their component,
-    if any, and are kept if there are none. Other columns of ``df`` are not read.
-    """
+        regs = classes.select("rep", "n", "regs")
+        # as members, pivots meet those of earlier places
+        members_ = left.join(pivots.select("key", "rep", "place"), ["key", "rep"], "left").select(
+            "key",
+            F.pmod(F.xxhash64("rep"), F.col("chunks")).alias("chunk"),
+            "rep", "comp",
+            F.coalesce("place", F.lit(PIVOTS + 1)).alias("place"),
+            F.lit(False).alias("pivot"),
+        )
+        pivots_ = pivots.select(
+            "key", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)).alias("chunk"),
+            "rep", "comp", "place", F.lit(True).alias("pivot"),
+        )
+        blocks = members_.union(pivots_).join(regs, "rep").select("key", "chunk", "rep", "comp", "place", "pivot", "n", "regs")
+        links = durable(_met(blocks, classes, texts, percent))
+        open_ = durable(left.select("key", "rep").join(pivots.select("key", "rep"), ["key", "rep"], "left_anti"))
+
+
+def assigned(df: DataFrame, id: str, text: str, percent: int) -> DataFrame:
+    """_id, _mark (of the text), n_shingles, component_id and kept of every row of ``df``."""
     sketches = sketch(df, id, text)
     found = linked(df, sketches, id, text, percent)
     rows, classes = sketches.rows, sketches.classes
@@ -268,11 +356,34 @@ def near_duplicates(df: DataFrame, id: str = "doc_id", text: str = "text", perce
     )
     placed = durable(rows.join(names, "set", "left"))
     least = placed.where("_comp IS NOT NULL").groupBy("_comp").agg(F.min("_id").alias("_least"))
-    named = placed.join(least, "_comp", "left")
     component = F.coalesce("_least", "_id")
-    return named.select(
-        F.col("_id").alias(id),
-        F.col("n_shingles"),
+    return placed.join(least, "_comp", "left").select(
+        "_id",
+        "_mark",
+        "n_shingles",
         component.alias("component_id"),
         F.coalesce(F.col("_id") == component, F.col("_least").isNull()).alias("kept"),
     )
+
+
+def near_duplicates(df: DataFrame, id: str = "doc_id", text: str = "text", percent: int = PERCENT) -> DataFrame:
+    """One row per row of ``df``: the id, ``n_shingles`` (distinct runs of five words; with
+    fewer words the whole text as one), ``component_id`` (the smallest id reachable by links)
+    and ``kept`` (the id is that one).
+
+    Two texts are linked if 100 * common >= percent * union of their shingles. Words are what
+    stands between white space, with A-Z as a-z. Null, empty and wordless texts have 0 shingles,
+    no links and stay; equal texts are linked. Repeated rows share a component, and all rows with
+    its smallest id are kept. Rows without id are named by the other members of their component,
+    if any, and are kept if there are none. Other columns of ``df`` are not read.
+    """
+    return assigned(df, id, text, percent).select(F.col("_id").alias(id), "n_shingles", "component_id", "kept")
+
+
+def deduplicated(df: DataFrame, id: str = "doc_id", text: str = "text", percent: int = PERCENT) -> DataFrame:
+    """The rows of ``df`` that ``near_duplicates`` keeps, with all their columns."""
+    stays = assigned(df, id, text, percent).where("kept").select("_id", "_mark").distinct()
+    marked = df.withColumn("_of", F.xxhash64(text))
+    return marked.join(
+        stays, marked[id].eqNullSafe(stays["_id"]) & (marked["_of"] == stays["_mark"]), "left_semi"
+    ).drop("_of")
