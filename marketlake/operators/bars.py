@@ -27,12 +27,13 @@ def kline_resample(
     symbol costs no more than its number of bars, and no tick is sorted. Ticks without
     a price open and close no bar.
     """
-    at = F.when(F.col(price).isNotNull(), _order(ts, tiebreak))
-    grouped, start = _by_interval(ticks, symbol, ts, every)
+    # a column of its own: three of the sums below look at it
+    ordered = ticks.withColumn("_at", F.when(F.col(price).isNotNull(), _order(ts, tiebreak)))
+    grouped, start = _by_interval(ordered, symbol, ts, every)
     return grouped.agg(
-        F.max_by(tiebreak, at).alias("event_id"),
-        F.min_by(price, at).alias("open"),
-        F.max_by(price, at).alias("close"),
+        F.max_by(tiebreak, "_at").alias("event_id"),
+        F.min_by(price, "_at").alias("open"),
+        F.max_by(price, "_at").alias("close"),
         F.max(price).alias("highest"),
         F.min(price).alias("lowest"),
         F.sum(qty).alias("volume"),
