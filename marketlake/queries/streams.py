@@ -88,11 +88,14 @@ def _(spark, sf):
 @query("stream_dedup", """
   SELECT key, count(*) > 0 AS seen FROM (SELECT md5(text) AS key FROM documents) GROUP BY key""")
 def _(spark, sf):
-    """Documents as a stream of articles, a minute apart, with equal texts given once."""
+    """Documents as a stream of articles, a minute apart, with equal texts given once.
+
+    The files come in any order, one per batch; the delay covers all of them.
+    """
     at = F.timestamp_seconds(F.lit(1_704_067_200) + F.col("doc_id") * 60)
     rows = load(spark, sf, "documents").select(F.md5("text").alias("key"), at.alias("published"))
     stream = batches.new_file_pickup(spark, landed(spark, rows, 4), rows.schema, files_per_batch=1)
-    once = drained(spark, operators.stream_dedup(stream, ["key"], "published"))
+    once = drained(spark, operators.stream_dedup(stream, ["key"], "published", "400 days"))
     return once.groupBy("key").agg((F.count(F.lit(1)) == 1).alias("seen"))
 
 
