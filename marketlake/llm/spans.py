@@ -114,10 +114,11 @@ def without_repeats(df: DataFrame, id: str = "doc_id", text: str = "text") -> Da
     at most its own sentences.
     """
     found = durable(_spans_of(df, id, text))
-    often = found.groupBy("hash").agg(F.count("*").alias("n")).where("n > 1").select("hash")
+    # Written, so that the joins shuffle both sides anew: only then Spark may split a frequent hash.
+    often = durable(found.groupBy("hash").agg(F.count("*").alias("n")).where("n > 1").select("hash"))
     repeated = durable(found.join(often, "hash"))
     order = F.struct("doc", "mark", "i")
-    firsts = repeated.groupBy("hash").agg(F.min(order).alias("least"))
+    firsts = durable(repeated.groupBy("hash").agg(F.min(order).alias("least")))
     later = repeated.join(firsts, "hash").where(~order.eqNullSafe(F.col("least")))
     cut = later.groupBy("doc", "mark").agg(F.collect_set(F.struct("i", "j")).alias("_cut"))
     cut = cut.select(F.col("doc").alias("_doc"), F.col("mark").alias("_of"), "_cut")
