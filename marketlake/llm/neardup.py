@@ -294,7 +294,8 @@ def linked(df: DataFrame, sketches: Sketches, id: str, text: str, percent: int =
     classes = sketches.classes
     texts = df.select(F.col(id).alias("_id"), F.col(text).alias("_text"), F.xxhash64(text).alias("_mark"))
     bands = durable(_banded(classes))
-    sizes = bands.groupBy("key").agg(F.count("*").alias("of")).where("of > 1")
+    # Written, so that the join shuffles both sides anew: only then Spark may split a large bucket.
+    sizes = durable(bands.groupBy("key").agg(F.count("*").alias("of")).where("of > 1"))
     members = durable(bands.join(sizes, "key"))
     central = members.groupBy("rep").agg(F.sum("of").alias("weight"))
     weighed = members.select("key", "rep").join(central, "rep")
