@@ -1,9 +1,13 @@
 """Repeated passages by sliding sentence spans.
 
 A sentence ends at a full stop, question or exclamation mark, comma, semicolon or colon before
-white space, or at a line end. Where that gives more than 16 words, words picked by their hash
-end sentences too, so that equal passages are divided alike wherever they stand. At every
-sentence a span begins: that one and the next ones, three at least, until they hold 12 words.
+white space, or at a line end. Where that gives more than 12 words, every word is a sentence, so
+that equal passages are divided alike wherever they stand. At every sentence a span begins: that
+one and the next ones, three at least, until they hold 12 words.
+
+A passage may begin and end inside sentences that are short in one text and long in another: 12
+words at each end are divided differently at most. Of 50 words 26 are left, which no two sentences
+of 12 words hold; so any 50 words hold a span that is found wherever they stand.
 """
 
 from __future__ import annotations
@@ -17,7 +21,8 @@ from ..runtime import durable
 from .arrow import add_columns, blocks, utf8
 from .shingles import IS_WORD, _odd, mix, powers, words_of
 
-RUN, WORDS, LONG, CUT = 3, 12, 16, 8
+# LONG: the largest with 4 * LONG < 50; CUT: of longer sentences every word is one of its own.
+RUN, WORDS, LONG, CUT = 3, 12, 12, 1
 ENDS = np.zeros(256, bool)
 ENDS[np.frombuffer(b".!?,;:", np.uint8)] = True
 FACTOR = int(_odd(1, 11)[0])

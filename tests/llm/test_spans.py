@@ -129,3 +129,34 @@ def test_repeated_rows_are_one_document(docs):
     rows = spans.without_repeats(docs([(1, text), (1, text), (2, text), (None, text)])).collect()
     assert sorted((r["doc_id"] or 0, r["text"]) for r in rows) == [(0, text), (1, ""), (1, ""), (2, "")]
     assert spans.without_repeats(docs([])).collect() == []
+
+
+def keys(text):
+    """Hashes of the spans of a text."""
+    import pyarrow as pa
+
+    hashed, size, first, _ = spans.sentences(*utf8(pa.array([text])))
+    return set(spans.spans(hashed, size, first)[0].tolist())
+
+
+def test_fifty_words_hold_a_span_wherever_they_stand():
+    rng = np.random.default_rng(10)
+
+    def prose(n, ends):
+        words = ["".join(rng.choice(list("abcdefgh"), 6)) for _ in range(n)]
+        return " ".join(w + ("." if rng.random() < ends else "") for w in words)
+
+    for trial in range(900):
+        ends = (0.0, 0.05, 0.12)[trial % 3]
+        passage = prose(50 + trial % 11, ends)
+        one, other = (
+            f"{prose(int(rng.integers(0, 40)), ends)} {passage} {prose(int(rng.integers(0, 40)), ends)}" for _ in range(2)
+        )
+        assert keys(one) & keys(other), passage
+
+
+def test_worst_places_of_sentence_ends():
+    words = [f"w{k}" for k in range(50)]
+    for ends in ((11, 23, 35), (11, 23, 37), (0, 12, 24, 36, 48), (12, 25, 38), (24,), (11, 37), (12, 36)):
+        passage = " ".join(w + "." * (k in ends) for k, w in enumerate(words))
+        assert keys(f"x. {passage}. y") & keys(f"{'a ' * 30}{passage} {'b ' * 30}"), ends
