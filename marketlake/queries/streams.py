@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.filters import RECENT_HOURS
 from ..operators.slices import Series
-from ..runtime import work_dir
+from ..runtime import durable, work_dir
 from ..streaming import batches, operators
 from .base import HOURS, bars, bars_sql, candles_sql, load, query, ticks
 
@@ -85,17 +89,30 @@ def _(spark, sf):
     return _two_drains(spark, sf)[1]
 
 
+ARTICLE_DAYS, ARTICLE_SLICES = 30, 4
+
+
 @query("stream_dedup", """
   SELECT key, count(*) > 0 AS seen FROM (SELECT md5(text) AS key FROM documents) GROUP BY key""")
 def _(spark, sf):
-    """Documents as a stream of articles, a minute apart, with equal texts given once.
+    """Documents as a stream of articles, with equal texts given once.
 
-    The files come in any order, one per batch; the delay covers all of them.
+    A text picks the day and hour of its article, and its copies come within the operator's own
+    delay. The files come in order of time, a slice drained before the next, so no row is late and
+    state expires on the way for any number of documents and any ids.
     """
-    at = F.timestamp_seconds(F.lit(1_704_067_200) + F.col("doc_id") * 60)
-    rows = load(spark, sf, "documents").select(F.md5("text").alias("key"), at.alias("published"))
-    stream = batches.new_file_pickup(spark, landed(spark, rows, 4), rows.schema, files_per_batch=1)
-    once = drained(spark, operators.stream_dedup(stream, ["key"], "published", "400 days"))
+    width, delay = ARTICLE_DAYS * 86_400, RECENT_HOURS * 3_600
+    key = F.md5("text")
+    second = F.pmod(F.xxhash64(key), F.lit(width)) + F.pmod(F.coalesce("doc_id", F.lit(0)), F.lit(delay))
+    at = F.timestamp_seconds(F.lit(1_704_067_200) + second)
+    rows = durable(load(spark, sf, "documents").select(key.alias("key"), at.alias("published"), second.alias("_second")))
+    path, checkpoint, given = work_dir(spark, "landing"), work_dir(spark, "checkpoint"), []
+    for k in range(ARTICLE_SLICES):
+        place = F.least(F.floor(F.col("_second") * ARTICLE_SLICES / width), F.lit(ARTICLE_SLICES - 1))
+        rows.where(place == k).drop("_second").write.mode("append").parquet(path)
+        stream = batches.new_file_pickup(spark, path, rows.drop("_second").schema)
+        given.append(drained(spark, operators.stream_dedup(stream, ["key"], "published"), checkpoint))
+    once = reduce(DataFrame.unionByName, given)
     return once.groupBy("key").agg((F.count(F.lit(1)) == 1).alias("seen"))
 
 

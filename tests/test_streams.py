@@ -129,6 +129,35 @@ def test_a_key_comes_again_after_its_delay_for_any_layout_of_files(spark):
         assert sorted(r.published.hour for r in found) == [0, 6]
 
 
+def test_dedup_query_gives_every_text_for_any_ids(spark, tmp_path):
+    from marketlake.queries import QUERIES
+
+    ids = [k * step for step in (1, 25_000) for k in range(120)]
+    rows = [(i, None if i % 7 == 1 else f"text {i % 90}") for i in ids]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    found = QUERIES["stream_dedup"](spark, str(tmp_path)).collect()
+    assert len(found) == len({r.key for r in found}) == len({t for _, t in rows})
+    assert all(r.seen for r in found)
+
+
+def test_dedup_query_on_one_row(spark, tmp_path):
+    from marketlake.queries import QUERIES
+
+    spark.createDataFrame([(None, "one")], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    assert [r.seen for r in QUERIES["stream_dedup"](spark, str(tmp_path)).collect()] == [True]
+
+
+def test_a_row_behind_the_watermark_is_dropped_and_one_within_the_delay_is_not(spark):
+    path, out, checkpoint = (work_dir(spark, n) for n in ("landing", "out", "checkpoint"))
+    schema = "url string, published timestamp"
+    at = lambda h: START + timedelta(hours=h)
+    for rows in ([("a", at(0)), ("b", at(10))], [("c", at(1)), ("d", at(7)), ("b", at(7))]):
+        df = spark.createDataFrame(rows, schema)
+        land(df, path)
+        run(operators.stream_dedup(batches.new_file_pickup(spark, path, df.schema), ["url"], "published"), out, checkpoint)
+    assert sorted(r.url for r in spark.read.parquet(out).collect()) == ["a", "b", "d"]
+
+
 def test_bars_of_ticks_are_not_sorted(spark):
     from marketlake.operators.bars import kline_resample
 
