@@ -38,9 +38,10 @@ def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Draws documents so that sources, languages and topics come to their shares."""
+    """Draws documents so that sources, languages and topics come to their shares; null and other
+    languages than the listed ones keep their natural share."""
     ready(spark)
-    return queries.mix(docs.select(*COLUMNS)).where("kept").select(*COLUMNS)
+    return queries.mix(docs.select(*COLUMNS), queries.MIX_ALL).where("kept").select(*COLUMNS)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

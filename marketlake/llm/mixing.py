@@ -20,11 +20,14 @@ class Target:
     """Wanted shares of one dimension.
 
     Values in ``shares`` get that share; all others divide what is left in proportion to their
-    tokens to the power ``temper``. Shares are scaled to 1 over the values that occur.
+    tokens to the power ``temper``. Shares are scaled to 1 over the values that occur. With
+    ``spare`` (for languages and topics) the others keep their natural share together, and the
+    listed ones divide what remains. Where nothing that occurs has a share, shares are natural.
     """
 
     shares: dict[str, float] = field(default_factory=dict)
     temper: float = 1.0
+    spare: bool = False
 
     @property
     def rest(self) -> float:
@@ -54,10 +57,15 @@ def _wanted(tokens: dict[str, float], target: Target) -> dict[str, float]:
     listed = {v: target.shares[v] for v in tokens if v in target.shares}
     free = {v: n**target.temper for v, n in tokens.items() if v not in target.shares}
     whole = sum(free.values())
-    found = listed | {v: target.rest * x / whole for v, x in free.items()}
+    rest = target.rest
+    if target.spare and listed:
+        rest = sum(tokens[v] for v in free) / sum(tokens.values())
+        given = sum(listed.values())
+        listed = {v: x / given * (1.0 - rest) for v, x in listed.items()} if rest and given else listed
+    found = listed | {v: rest * x / whole for v, x in free.items()}
     scale = sum(found.values())
     if scale <= 0:
-        raise ValueError("no value that occurs has a share")
+        found, scale = tokens, sum(tokens.values())
     return {v: x / scale for v, x in found.items()}
 
 
