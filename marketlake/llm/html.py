@@ -56,22 +56,29 @@ WORDS = frozenset(
     " cookie cookies consent gdpr notice notices notification popup modal overlay newsletter subscribe subscription paywall"
     " login signup comment comments commentlist respond disqus reply replies pagination pager toolbar skip tags tagcloud".split()
 )
-KEPT = frozenset("html body main article".split())  # never dropped for a word
+KEPT = frozenset("html body main article".split())  # never dropped for an ambiguous word
+# Names of reader comments and lists of other pages: dropped whatever their size and what they hold.
+OTHERS = frozenset(
+    "comment comments commentlist respond disqus reply replies related recommended recommendations".split()
+)
+# Words that say of a wrapper what it has: `has-related`, `comments-closed`.
+ABOUT = frozenset("has no with without on off open closed enabled disabled".split())
 
 
 class Node:
-    __slots__ = ("tag", "parent", "inside", "chars", "tags", "link_chars", "link_tags", "density", "score", "drop", "weak")
+    __slots__ = ("tag", "parent", "inside", "chars", "tags", "link_chars", "link_tags", "density", "score", "drop", "weak", "other")
 
-    def __init__(self, tag: str, parent: Node | None, drop: bool = False, weak: bool = False):
-        self.tag, self.parent, self.drop, self.weak = tag, parent, drop, weak
+    def __init__(self, tag: str, parent: Node | None, drop: bool = False, weak: bool = False, other: bool = False):
+        self.tag, self.parent, self.drop, self.weak, self.other = tag, parent, drop or other, weak, other and not drop
         self.inside: list[Node | str] = []
         self.chars = self.tags = self.link_chars = self.link_tags = 0
         self.density = self.score = 0.0
 
 
-def _named(attributes: str) -> tuple[bool, bool]:
-    """Whether the element is dropped for sure, or for a word unless it holds most of the page."""
-    sure = weak = False
+def _named(attributes: str) -> tuple[bool, bool, bool]:
+    """Whether the element is dropped for sure, for a word unless it holds most of the page, or
+    as comments or a list of other pages."""
+    sure = weak = other = False
     for m in NAMES.finditer(attributes):
         name, value = m[1].lower(), (m[2] or "").strip("\"'")
         if name == "hidden":
@@ -80,9 +87,12 @@ def _named(attributes: str) -> tuple[bool, bool]:
             sure = sure or "display:none" in value.replace(" ", "").lower()
         elif name == "role":
             sure = sure or value.strip().lower() in ROLES
-        elif not WORDS.isdisjoint(WORD.findall(CAMEL.sub(" ", value).lower())):
-            weak = True
-    return sure, weak
+        else:
+            for one in value.split():
+                words = frozenset(WORD.findall(CAMEL.sub(" ", one).lower()))
+                other = other or (not OTHERS.isdisjoint(words) and ABOUT.isdisjoint(words))
+                weak = weak or not WORDS.isdisjoint(words)
+    return sure, weak, other
 
 
 def parse(page: str) -> Node:
@@ -134,8 +144,8 @@ def parse(page: str) -> Node:
                 node = node.parent
             if last is not None and last.parent is not None:
                 here = last.parent
-        sure, weak = _named(m[3]) if m[3].strip() else (False, False)
-        node = Node(tag, here, tag in DROPPED or sure, weak and tag not in KEPT)
+        sure, weak, other = _named(m[3]) if m[3].strip() else (False, False, False)
+        node = Node(tag, here, tag in DROPPED or sure, weak and tag not in KEPT, other and tag != "main")
         here.inside.append(node)
         if tag in RAW:
             lower = lower if lower is not None else page.lower()
@@ -148,13 +158,13 @@ def parse(page: str) -> Node:
     return root
 
 
-def _in_order(root: Node) -> list[Node]:
-    """All elements that are not dropped, parents first."""
+def _in_order(root: Node, others: bool = False) -> list[Node]:
+    """All elements that are not dropped, parents first; with ``others`` those named so as well."""
     nodes, stack = [], [root]
     while stack:
         node = stack.pop()
         nodes.append(node)
-        stack.extend(x for x in reversed(node.inside) if isinstance(x, Node) and not x.drop)
+        stack.extend(x for x in reversed(node.inside) if isinstance(x, Node) and (not x.drop or others and x.other))
     return nodes
 
 
@@ -243,12 +253,19 @@ def main_text(page: str | None) -> str:
     nodes = _in_order(body)
     up, body.parent = body.parent, None
     _count(nodes)
+    if body.chars == body.link_chars:  # a page of nothing but comments
+        for node in _in_order(body, others=True):
+            node.drop = node.drop and not node.other
+        nodes = _in_order(body)
+        _count(nodes)
     most = body.chars - body.link_chars
-    named = any(n.tag in ("article", "main") for n in nodes)
+    big = max((n.chars - n.link_chars for n in nodes if n.tag in ("article", "main")), default=-1)
     for node in nodes:  # a word in a class must not cost the article itself
-        if node.weak:
-            holds = any(x.tag in ("article", "main") for x in _in_order(node)) if named else 2 * node.chars > most + 1
-            node.drop = not holds
+        if node.weak and big < 0:
+            node.drop = 2 * node.chars <= most + 1
+        elif node.weak:
+            held = {x.tag for x in _in_order(node)}
+            node.drop = "main" not in held and ("article" not in held or 2 * (node.chars - node.link_chars) < big)
     nodes = _in_order(body)
     _count(nodes)
     _weigh(nodes, body)

@@ -35,6 +35,33 @@ def test_sections_are_joined_and_link_lists_left_out():
     assert main_text(page) == f"{TEXT} {TEXT}"
 
 
+def thread(tag, n=60):
+    one = "<{0} class=comment-body><p>Reader {1} has a long opinion on this, and says so at length.</p></{0}>"
+    return "".join(f"<li class=comment>{one.format(tag, k)}</li>" for k in range(n))
+
+
+def test_long_comment_threads_are_left_out():
+    for tag in ("div", "article"):
+        for name in ("id=comments", "class='comments-area'", "class=commentList", "class=replies", "id=disqus_thread"):
+            comments = f"<div {name}><ol class=comment-list>{thread(tag)}</ol></div>"
+            assert main_text(f"<body>{NAV}<div class=content>{BODY}</div>{comments}") == TEXT
+            assert main_text(f"<body>{NAV}<main><article>{BODY}</article>{comments}</main>") == TEXT
+            assert main_text(f"<body>{NAV}<article class=post>{BODY}{comments}</article>") == TEXT
+
+
+def test_cards_of_other_pages_are_left_out():
+    cards = "".join(f"<article><h3>Story {k}</h3><p>What another story says in one line.</p></article>" for k in range(20))
+    assert main_text(f"<body><article>{BODY}</article><div class=related-posts>{cards}</div>") == TEXT
+    assert main_text(f"<body><main>{BODY * 20}</main><div class=sidebar>{cards}</div>") == " ".join([TEXT] * 20)
+
+
+def test_wrappers_with_ambiguous_names_stay():
+    for name in ("has-sidebar", "with-related", "comments-closed", "promo wrap"):
+        assert main_text(f"<body>{NAV}<div class='{name}'><article class='{name}'>{BODY}</article></div>") == TEXT
+        assert main_text(f"<body>{NAV}<div class='{name}'><div>{BODY}</div></div>") == TEXT
+    assert main_text(f"<body>{NAV}<ol class=comments>{thread('div', 1)}</ol>").startswith("Reader 0 has")
+
+
 def test_white_space_inline_elements_and_references():
     page = "<article><h1>T&eacute;st &#8217;</h1><p>a<b>b</b>c&nbsp; &amp;\n d<br>e</p><p>f&lt;g</p><td>h</td></article>"
     assert main_text(page) == "Tést ’ abc & d e f<g h"
