@@ -126,7 +126,8 @@ class Model:
     min_ratio: float = MIN_RATIO
 
     def spans(self, data: np.ndarray, at: np.ndarray) -> list[list[Span]]:
-        """All spans of each text in bytes; what the models add overlaps no base span."""
+        """All spans of each text in bytes; what the models add is whole runs with a letter in them,
+        numbers stay, and lies inside no base span."""
         found = base_spans(data, at)
         begins, ends = runs(CODE[data] > 0, at)
         long = ends - begins >= self.min_length
@@ -135,14 +136,13 @@ class Model:
             return found
         pair = _pairs(data, at)
         score = np.concatenate([[0.0], np.cumsum(np.where(pair >= 0, self.ratio[pair], 0.0))])
-        digits = np.concatenate([[0], np.cumsum(IS_DIGIT[data])])
         letters = np.concatenate([[0], np.cumsum(IS_LETTER[data])])
         wins = (score[ends - 1] - score[begins]) > self.min_ratio * (ends - begins - 1)
-        wins &= (digits[ends] > digits[begins]) & (letters[ends] > letters[begins])
+        wins &= letters[ends] > letters[begins]
         for i in np.flatnonzero(wins):
             row = int(np.searchsorted(at, begins[i], "right")) - 1
             begin, end = int(begins[i] - at[row]), int(ends[i] - at[row])
-            if not any(b < end and begin < e for b, e, _ in found[row]):
+            if not any(b <= begin and end <= e for b, e, k in found[row] if k < 3):
                 found[row].append((begin, end, 3))
                 found[row].sort(key=lambda s: (s[0], s[2]))
         return found
