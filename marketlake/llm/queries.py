@@ -8,11 +8,14 @@ from pyspark.sql import functions as F
 
 from . import cotraining, secrets
 from .chat import perspectives
+from .codes import compressed
 from .curves import nearest
 from .html import extracted
 from .mixing import SWEEPS, Target, mixed, topic_of, words
 from .neardup import near_duplicates
 from .packing import packed
+from .phrases import collocations
+from .pivots import simhash_duplicates
 from .registry import query, table
 from .rules import POLICIES, RULES, ledger, passes
 from .spans import without_repeats
@@ -231,3 +234,89 @@ def cotraining_query(spark, sf_dir):
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     scored = cotraining.classified(docs, cotraining.train(docs, labels)).drop("text")
     return scored.select("doc_id", *[F.round(c, 9).alias(c) for c in ("text_score", "meta_score", "score")], "kept")
+
+
+# --- 11: SimHash near-duplicates ---------------------------------------------------------------------
+@query("op11_pivot_tables")
+def pivot_tables(spark, sf_dir):
+    """Fingerprint of every document, and its component among those at most four bits apart."""
+    return simhash_duplicates(table(spark, sf_dir, "documents"))
+
+
+# --- 12: collocations -----------------------------------------------------------------------------------
+COLLOCATIONS_SQL = """
+WITH pieces AS (
+  SELECT lang, row_number() OVER () AS piece, piece_text FROM (SELECT lang, unnest(x) AS piece_text FROM (
+    SELECT coalesce(lang, 'und') AS lang, string_split_regex(
+      translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\\x0A-\\x0D]') AS x
+    FROM documents))),
+split AS (SELECT lang, piece, regexp_extract_all(piece_text, '[^\x20\x09]+') AS w FROM pieces),
+total AS (SELECT lang, sum(len(w))::BIGINT AS n FROM split GROUP BY lang),
+word AS (SELECT lang, piece, unnest(w) AS w, generate_subscripts(w, 1) AS i FROM split),
+run AS (
+  SELECT lang, w AS a, lead(w, 1) OVER o AS b, lead(w, 2) OVER o AS c FROM word WINDOW o AS (PARTITION BY piece ORDER BY i)),
+f AS MATERIALIZED (
+  SELECT lang, 1 AS size, [a] AS words, count(*) AS f FROM run GROUP BY lang, a HAVING count(*) >= 10
+  UNION ALL SELECT lang, 2, [a, b], count(*) FROM run WHERE b IS NOT NULL GROUP BY lang, a, b HAVING count(*) >= 10
+  UNION ALL SELECT lang, 3, [a, b, c], count(*) FROM run WHERE c IS NOT NULL GROUP BY lang, a, b, c HAVING count(*) >= 10),
+cuts AS (
+  SELECT c.lang, c.words, c.f AS a, x.k, l.f AS l, r.f AS r,
+    (1000000::HUGEINT * c.f * c.f) // (l.f::HUGEINT * r.f) AS score
+  FROM f c JOIN (SELECT unnest([1, 2]) AS k) x ON x.k < c.size
+  JOIN f l ON l.lang = c.lang AND l.words = c.words[1:x.k]
+  JOIN f r ON r.lang = c.lang AND r.words = c.words[x.k + 1:]),
+lowest AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, words ORDER BY score, k) = 1),
+inner_parts AS (
+  SELECT lang, unnest([words[1:2], words[2:3]]) AS words, f FROM f WHERE size = 3),
+around AS (SELECT lang, words, max(f) AS longer FROM inner_parts GROUP BY ALL),
+kept AS (
+  SELECT lowest.*, array_to_string(words, ' ') AS phrase FROM lowest LEFT JOIN around USING (lang, words)
+  WHERE longer IS NULL OR 100 * longer < 50 * a),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept)
+SELECT lang, rank::BIGINT AS rank, phrase, a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n, score::BIGINT AS score
+FROM ranked JOIN total USING (lang) WHERE rank <= 2000
+"""
+
+
+@query("op12_rabin_karp", COLLOCATIONS_SQL)
+def rabin_karp(spark, sf_dir):
+    """The first 2000 collocations of two and three words of every language."""
+    return collocations(table(spark, sf_dir, "documents"))
+
+
+# --- 13: vector codes -------------------------------------------------------------------------------------
+def _nearest_sql(book: str) -> str:
+    return f"""SELECT r, p, min(d * 64 + e) % 64 AS e, min(d * 64 + e) // 64 AS d FROM (
+    SELECT r, p, e, sum((x - c) * (x - c)) AS d FROM pieces JOIN {book} USING (p, j) GROUP BY r, p, e) GROUP BY r, p"""
+
+
+def _mean_sql(book: str, codes: str) -> str:
+    return f"""SELECT p, e, j, coalesce((s - ((s % n) + n) % n) // n, c) AS c FROM {book} LEFT JOIN (
+    SELECT p, e, j, sum(x) AS s, count(*) AS n FROM pieces JOIN {codes} USING (r, p) GROUP BY p, e, j) USING (p, e, j)"""
+
+
+CODES_SQL = f"""
+WITH kept AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY vec_id, embedding) AS r, vec_id, label,
+    list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::HUGEINT) AS v
+  FROM embeddings WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+pieces AS MATERIALIZED (
+  SELECT r, g // (len(v) // 16) AS p, g % (len(v) // 16) AS j, v[g + 1] AS x FROM (SELECT r, v, unnest(range(len(v))) AS g FROM kept)),
+b0 AS MATERIALIZED (SELECT p, r - 1 AS e, j, x AS c FROM pieces WHERE r <= 64),
+c0 AS MATERIALIZED ({_nearest_sql("b0")}),
+b1 AS MATERIALIZED ({_mean_sql("b0", "c0")}),
+c1 AS MATERIALIZED ({_nearest_sql("b1")}),
+b2 AS MATERIALIZED ({_mean_sql("b1", "c1")}),
+c2 AS MATERIALIZED ({_nearest_sql("b2")}),
+told AS (
+  SELECT r, string_agg(printf('%02x', e::BIGINT), '' ORDER BY p) AS code, sum(d)::BIGINT AS error FROM c2 GROUP BY r)
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error,
+  (SELECT sha256(string_agg(c::VARCHAR, ',' ORDER BY p, e, j)) FROM b2) AS codebooks_sha256
+FROM kept JOIN told USING (r)
+"""
+
+
+@query("op13_limb_split", CODES_SQL)
+def limb_split(spark, sf_dir):
+    """Code and error of every vector, after two rounds over its codebooks."""
+    return compressed(table(spark, sf_dir, "embeddings"))
