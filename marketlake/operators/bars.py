@@ -19,13 +19,15 @@ def kline_resample(
     price: str = "price",
     qty: str = "qty",
     tiebreak: str = "event_id",
+    keep_time: str | None = None,
 ) -> DataFrame:
     """One bar per symbol and interval that has a tick.
 
     ``event_id`` is the id of the closing tick and ``endtime`` the end of the
     interval. One hash aggregation with partial results before the shuffle: a hot
     symbol costs no more than its number of bars, and no tick is sorted. Ticks without
-    a price open and close no bar.
+    a price open and close no bar. ``keep_time`` names a last column for the event time of a bar
+    of a stream, which further operators with state need.
     """
     # a column of its own: three of the sums below look at it
     ordered = ticks.withColumn("_at", F.when(F.col(price).isNotNull(), _order(ts, tiebreak)))
@@ -50,6 +52,7 @@ def kline_resample(
         "close",
         "volume",
         "quotevolume",
+        *([F.window_time("window").alias(keep_time)] if keep_time else []),
     )
 
 

@@ -10,11 +10,13 @@ from ..functions.times import partition_parts
 from ..operators import dims
 from ..operators.indicators import indicator_series
 from ..operators.sentiment import sentiment_labels
-from ..plans import gold, hour, quality_jobs
+from ..operators import rules
+from ..plans import gold, hour, quality_jobs, watched
 from ..plans.silver import to_silver
 from ..runtime import durable, work_dir
-from ..schemas import GOLD, PARTITION_COLUMNS
+from ..schemas import GOLD, NEWS_CONTRACT, PARTITION_COLUMNS
 from ..sinks.files import raw_landing_write
+from ..streaming import batches
 from .base import (
     COINS_SQL,
     COMMENTS_SQL,
@@ -52,6 +54,71 @@ def _(spark, sf):
     return quality_jobs.news_quality(news(spark, sf)).clean
 
 
+# --- counts that come out of the job that writes the rows -------------------------------
+NEWS_COLUMNS = ("domain", "title", "url", "text", "published", "author", "authors", "source", "tag")
+UNIQUE_COLUMNS = tuple(c for c in NEWS_COLUMNS if c != "authors")
+NEWS_RULES = (
+    rules.not_null("author"),
+    rules.required_fields("author", "source"),
+    rules.no_empty_string("text"),
+    rules.length("text", 2_000),
+    rules.trimmed("text"),
+    rules.enumeration("tag", ["economy", "politics"]),
+    rules.pattern("title", "^doc [0-9]*[02468]$"),
+    rules.min_row_count(150),
+)
+NEWS_RULES_SQL = (
+    ("not_null", "author", "count(*) FILTER (author IS NULL)"),
+    ("required_fields", "author,source", "count(*) FILTER (author IS NULL OR source IS NULL)"),
+    ("no_empty_string", "text", "count(*) FILTER (text = '')"),
+    ("length", "text", "count(*) FILTER (length(text) > 2000)"),
+    ("trimmed", "text", "count(*) FILTER (text <> trim(text, ' '))"),
+    ("enumeration", "tag", "count(*) FILTER (tag NOT IN ('economy', 'politics'))"),
+    ("pattern", "title", "count(*) FILTER (NOT regexp_matches(title, '^doc [0-9]*[02468]$'))"),
+    ("min_row_count", "*", "greatest(150 - count(*), 0)"),
+)
+
+
+def counts_sql(step, source, columns=(), more=()):
+    measures = [("n_rows", "*", "count(*)")]
+    for c in columns:
+        measures += [("n_null", c, f"count(*) FILTER ({c} IS NULL)"), ("n_blank", c, f"count(*) FILTER ({c} = '')")]
+    rows = ", ".join(f"{{'measure': '{m}', 'column': '{c}', 'n': ({x})::BIGINT}}" for m, c, x in (*measures, *more))
+    return f"""SELECT '{step}' AS step, u.measure AS measure, u."column" AS "column", u.n AS n
+  FROM (SELECT unnest([{rows}]) AS u FROM ({source}))"""
+
+
+def checked_sql(source):
+    fails = [(f"violations of {n}", "*", "0" if n == "author" else f"count(*) FILTER ({n} IS NULL)") for n in NEWS_CONTRACT.properties]
+    needed = " AND ".join(f"{n} IS NOT NULL" for n in NEWS_CONTRACT.properties if n != "author")
+    return counts_sql("checked", source, more=[("n_accepted", "*", f"count(*) FILTER ({needed})"), *fails])
+
+
+@query("observed_quality", " UNION ALL ".join([
+    counts_sql("raw", NEWS_SQL, NEWS_COLUMNS, NEWS_RULES_SQL),
+    counts_sql("filled", f"SELECT * FROM ({NEWS_SQL}) WHERE text <> ''"),
+    counts_sql("unique", CLEAN_NEWS, UNIQUE_COLUMNS),
+    checked_sql(CLEAN_NEWS),
+    f"SELECT 'stored', 'n_rows', '*', count(*) FROM ({CLEAN_NEWS})",
+]))
+def _(spark, sf):
+    """News written once, and every count of the job that wrote it."""
+    done = watched.news_quality_written(news(spark, sf), work_dir(spark, "watched"), NEWS_RULES)
+    stored = done.stored.agg(F.count(F.lit(1)).alias("n"))
+    return done.report.union(stored.select(F.lit("stored"), F.lit("n_rows"), F.lit("*"), "n"))
+
+
+@query("observed_batches", " UNION ALL ".join([counts_sql("raw", NEWS_SQL, NEWS_COLUMNS, NEWS_RULES_SQL[:-1]), checked_sql(NEWS_SQL)]))
+def _(spark, sf):
+    """News as a stream: every micro-batch is written with its counts, which add up."""
+    rows, path, out = news(spark, sf), work_dir(spark, "landing"), work_dir(spark, "watched")
+    rows.repartition(4).write.parquet(path)
+    stream = batches.new_file_pickup(spark, path, rows.schema, files_per_batch=2)
+    write = watched.watched_batches(out, NEWS_RULES[:-1], NEWS_CONTRACT)
+    batches.drain_available(stream, write, work_dir(spark, "checkpoint"))
+    return watched.batch_reports(spark, out)
+
+
 @query("comments_quality", f"SELECT * EXCLUDE (created_ts) FROM ({CLEAN_COMMENTS})")
 def _(spark, sf):
     return quality_jobs.comments_quality(comments(spark, sf)).clean
