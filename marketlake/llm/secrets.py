@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import bisect
 import hashlib
 import re
 from collections.abc import Iterator
@@ -56,15 +57,17 @@ def base_spans(data: np.ndarray, at: np.ndarray) -> list[list[Span]]:
         if spans:
             text = whole[at[row] : at[row + 1]].decode("utf-8", "replace")
             spans.clear()
+            begin = seen = 0  # bytes and code points before the match
             for m in ASSIGN.finditer(text):
                 if len(m[2]) >= MIN_ASSIGN:
-                    begin = len(text[: m.start()].encode())
+                    begin += len(text[seen : m.start()].encode())
+                    seen = m.start()
                     spans.append((begin, begin + len(m[0].encode()), 0))
     place = whole.find(b"AKIA")
     while place >= 0:
         row = int(np.searchsorted(at, place, "right")) - 1
         m = ACCESS.match(whole, place, int(at[row + 1]))
-        end = m.end() if m else place + 4
+        end = m.end() if m else place + 1  # the end of a text may stand inside these four bytes
         if m and m.end() - m.start() >= MIN_ACCESS:
             found[row].append((place - int(at[row]), end - int(at[row]), 1))
         place = whole.find(b"AKIA", end)
@@ -139,12 +142,20 @@ class Model:
         letters = np.concatenate([[0], np.cumsum(IS_LETTER[data])])
         wins = (score[ends - 1] - score[begins]) > self.min_ratio * (ends - begins - 1)
         wins &= letters[ends] > letters[begins]
-        for i in np.flatnonzero(wins):
-            row = int(np.searchsorted(at, begins[i], "right")) - 1
-            begin, end = int(begins[i] - at[row]), int(ends[i] - at[row])
-            if not any(b <= begin and end <= e for b, e, k in found[row] if k < 3):
-                found[row].append((begin, end, 3))
-                found[row].sort(key=lambda s: (s[0], s[2]))
+        wins = np.flatnonzero(wins)
+        rows = np.searchsorted(at, begins[wins], "right") - 1
+        for row in np.unique(rows).tolist():
+            base = found[row]
+            # base spans by start, and the furthest end up to each: what one of them holds is not added
+            opens = [b for b, _, _ in base]
+            reach = np.maximum.accumulate([e for _, e, _ in base]).tolist()
+            more: list[Span] = []
+            for i in wins[rows == row]:
+                begin, end = int(begins[i] - at[row]), int(ends[i] - at[row])
+                before = bisect.bisect_right(opens, begin)
+                if not before or reach[before - 1] < end:
+                    more.append((begin, end, 3))
+            found[row] = sorted(base + more, key=lambda s: (s[0], s[2]))
         return found
 
 
