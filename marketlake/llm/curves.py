@@ -112,12 +112,13 @@ def nearest(
 
     Vectors that are null, zero or hold null or non-finite components take no part, nor do those
     of another length than most (ties: the longer) and rows without id. Of equal vectors one is
-    placed on the curves, and k + 1 smallest ids stand for all; so copies crowd no window.
-    Repeated ids are rows of their own, and all of them are left out for a query of that id.
+    placed on the curves, and its k + 1 smallest ids stand for all; so copies crowd no window.
+    Repeated ids are rows of their own, and all of them are left out for a query of that id; if
+    it stands on several vectors, the best of all of them are merged.
 
     Items are ranked by (curve, key) through range partitions. Places are cut in blocks; a block
     of queries meets a block of rows where one of their windows reaches it, so a task holds two
-    blocks of bounded size. The best k + 1 of each meeting are merged and ranked again.
+    blocks of bounded size. The best of each meeting are merged and ranked again.
     """
     spark = df.sparkSession
     own = df.where(usable(vector) & F.col(id).isNotNull()).select(
@@ -129,13 +130,17 @@ def nearest(
         return empty
     size = common["size"]
     own = own.where(F.size("vec") == size)
-    # the smallest ids of each vector: the limit runs in the map tasks already
-    few = Window.partitionBy("vec").orderBy("id")
-    kept = own.select("id", "vec").withColumn("place", F.row_number().over(few)).where(F.col("place") <= k + 1)
+    # the rows of the k + 1 smallest ids of each vector, k of each id: whichever id a query leaves
+    # out, k rows are left; the limits run in the map tasks already
+    few = Window.partitionBy("vec", "id").orderBy(F.lit(0))
+    kept = own.select("id", "vec").withColumn("place", F.row_number().over(few)).where(F.col("place") <= k)
+    kept = kept.withColumn("place", F.dense_rank().over(Window.partitionBy("vec").orderBy("id"))).where(F.col("place") <= k + 1)
     first = own.groupBy("vec").agg(F.min("id").alias("class"), F.max("query").alias("query"))
     classes = durable(first)
     members = durable(kept.join(classes.select("vec", "class"), "vec").select("class", "id"))
     asked = durable(own.where("query").join(classes.select("vec", "class"), "vec").select(F.col("id").alias("query_id"), "class"))
+    # an id on several vectors leaves out as many of them
+    most = k + (asked.distinct().groupBy("query_id").count().agg(F.max("count")).first()[0] or 0)
     length = F.sqrt(F.aggregate("vec", F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double")))
     longest = classes.agg(F.max(length)).first()[0]
     items = classes.withColumn("query", F.lit(False)).union(classes.where("query").select("vec", "class", "query"))
@@ -182,13 +187,13 @@ def nearest(
             part = ask[at : at + 256]
             score = vec[part] @ base.T
             score[np.abs(spot[part][:, None] - there[None, :]) > window] = -np.inf
-            if score.shape[1] > k + 1:  # all that reach the (k + 1)-th score, then in order
-                bound = -np.partition(-score, k, axis=1)[:, k]
+            if score.shape[1] > most:  # all that reach the last score that counts, then in order
+                bound = -np.partition(-score, most - 1, axis=1)[:, most - 1]
             else:
                 bound = np.full(len(part), -np.inf)
             for row in range(len(part)):
                 able = np.flatnonzero((score[row] >= bound[row]) & (score[row] > -np.inf))
-                able = able[np.argsort(-score[row][able], kind="stable")][: k + 1]
+                able = able[np.argsort(-score[row][able], kind="stable")][:most]
                 out[0].append(np.full(len(able), name[part[row]]))
                 out[1].append(ids[able])
                 out[2].append(score[row][able])
@@ -197,19 +202,12 @@ def nearest(
     met = rows.union(lines).groupBy("curve", "rb", "qb").applyInArrow(meet, "asked long, class long, score double")
     best = Window.partitionBy("asked").orderBy(F.desc("score"), "class")
     merged = met.groupBy("asked", "class").agg(F.max("score").alias("score"))
-    top = merged.withColumn("place", F.row_number().over(best)).where(F.col("place") <= k + 1).drop("place")
-    ranked = Window.partitionBy("asked").orderBy(F.desc("score"), "id")
-    listed = (
-        top.join(members, "class")
-        .select("asked", "id", "score")
-        .withColumn("place", F.row_number().over(ranked))
-        .where(F.col("place") <= k + 1)
-    )
-    found = durable(listed)
-    own_rank = Window.partitionBy("query_id").orderBy("place")
+    top = durable(merged.withColumn("place", F.row_number().over(best)).where(F.col("place") <= most).drop("place"))
+    own_rank = Window.partitionBy("query_id").orderBy(F.desc("score"), "id")
     return (
         asked.distinct()
-        .join(found, asked["class"] == found["asked"])
+        .join(top.withColumnRenamed("class", "near"), F.col("class") == F.col("asked"))
+        .join(members.withColumnRenamed("class", "near"), "near")
         .where(F.col("id") != F.col("query_id"))
         .withColumn("rank", F.row_number().over(own_rank).cast("int"))
         .where(F.col("rank") <= k)

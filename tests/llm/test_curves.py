@@ -96,3 +96,31 @@ def test_neighbours_on_the_curve_touch():
     assert sorted(keys) == list(range(16**3))
     walk = cells[np.argsort(keys)]
     assert (np.abs(np.diff(walk, axis=0)).sum(axis=1) == 1).all()
+
+
+def exact(rows, asked, k):
+    """The k best rows of other ids, row by row."""
+    out = {}
+    for q in sorted({i for i, _ in rows if asked(i)}):
+        best = {}
+        for v in {tuple(v) for i, v in rows if i == q}:
+            for place, (i, w) in enumerate(rows):
+                if i != q:
+                    s = float(np.dot(v, w))
+                    best[place] = max(best.get(place, -np.inf), s)
+        order = sorted(best, key=lambda x: (-best[x], rows[x][0]))[:k]
+        out[q] = [rows[x][0] for x in order]
+    return out
+
+
+def test_own_ids_repeated_beyond_k(llm):
+    """An id on very many equal rows, and one on many different vectors, still get k other rows."""
+    rng = np.random.default_rng(10)
+    hot, near = [1.0, 2.0, 0.5, 1.0], [1.0, 2.0, 0.5, 0.75]
+    rows = [(0, hot)] * 25 + [(i, hot) for i in range(1, 6)] + [(i, rng.integers(-4, 4, 4).astype(float).tolist()) for i in range(101, 155)]
+    rows += [(60, near)] * 30 + [(20, [1.0, 2.0, 0.5, x / 64]) for x in range(40)]
+    rows = [(i, v) for i, v in rows if any(v)]
+    df = llm.createDataFrame([(i, v, 0) for i, v in rows], SCHEMA)
+    got = found(df, F.col("vec_id") % 20 == 0, 20, share=1.0, count=2)
+    assert {q: [i for i, _ in w] for q, w in got.items()} == exact(rows, lambda i: i % 20 == 0, 20)
+    assert all(len(w) == 20 for w in got.values())
