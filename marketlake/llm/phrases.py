@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from ..runtime import durable
 from .arrow import blocks, runs, utf8
 from .shingles import LOWER, _odd, mix
+from .sieve import frequent_filter
 
 ENDS_PIECE = np.zeros(256, bool)
 ENDS_PIECE[[*b".,;:!?", *range(10, 14)]] = True
@@ -36,7 +37,6 @@ SCORE = (
     "(1000000BD * CAST(a AS DECIMAL(15, 0)) * CAST(a AS DECIMAL(15, 0)))"
     " DIV (CAST(l AS DECIMAL(19, 0)) * CAST(r AS DECIMAL(19, 0)))"
 )
-MOST_BITS = 26  # of the filter of frequent fingerprints: at most 8 MB
 
 
 def _powers(base: int, count: int) -> np.ndarray:
@@ -89,40 +89,6 @@ class Words:
         return pa.LargeStringArray.from_buffers(len(self.begins), pa.py_buffer(offsets), pa.py_buffer(letters)).dictionary_encode()
 
 
-class Filter:
-    """Which fingerprints may be frequent: one bit each, shared by all that fall on it."""
-
-    def __init__(self, words: np.ndarray):
-        self.words = words
-        self.mask = np.uint64(64 * len(words) - 1)
-
-    def __call__(self, prints: np.ndarray) -> np.ndarray:
-        cell = prints & self.mask
-        return (self.words[cell >> np.uint64(6)] >> (cell & np.uint64(63)) & np.uint64(1)).astype(bool)
-
-
-def frequent_filter(frequent: DataFrame) -> Filter:
-    """A filter of the fingerprints in ``frequent``.
-
-    32 bits a fingerprint, but 8 MB at most whatever their number: a fuller filter lets more
-    rare runs pass to the next count, never a frequent one be lost. Bits are set in Spark; what
-    is fetched are the words of the filter.
-    """
-    bits = min(max(6 + 6, (32 * frequent.count()).bit_length()), MOST_BITS)
-    rows = (
-        frequent.select(
-            F.expr(f"CAST(shiftrightunsigned(fp & {(1 << bits) - 1}L, 6) AS INT)").alias("at"),
-            F.expr("shiftleft(1L, CAST(fp & 63L AS INT))").alias("bit"),
-        )
-        .groupBy("at")
-        .agg(F.bit_or("bit").alias("word"))
-        .toArrow()
-    )
-    words = np.zeros(1 << (bits - 6), np.uint64)
-    words[rows.column("at").to_numpy()] = rows.column("word").to_numpy().view(np.uint64)
-    return Filter(words)
-
-
 def _blocks(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[tuple[Words, np.ndarray, pa.Array]]:
     """Words, hashes of languages and languages of the texts of each block."""
     for batch in batches:
