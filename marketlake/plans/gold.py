@@ -1,4 +1,8 @@
-"""Silver tables to the star schema."""
+"""Silver tables to the star schema.
+
+Each load takes the newest hour of a silver table; with ``one_hour`` the rows given are one hour
+already, and no partition is looked for.
+"""
 
 from __future__ import annotations
 
@@ -24,9 +28,15 @@ def _declared(df: DataFrame, table: str) -> DataFrame:
     return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in GOLD[table]])
 
 
-def news_to_gold(silver: DataFrame, topic: DataFrame, max_id: int = 0) -> DataFrame:
+def _hour(silver: DataFrame, one_hour: bool) -> DataFrame:
+    return silver if one_hour else latest_partition_filter(silver)
+
+
+def news_to_gold(
+    silver: DataFrame, topic: DataFrame, max_id: int = 0, one_hour: bool = False
+) -> DataFrame:
     """The newest hour of news: ids after ``max_id`` in order of publication, topic and date keys."""
-    newest = latest_partition_filter(silver)
+    newest = _hour(silver, one_hour)
     # Publication time alone is not unique; url and title make the order total.
     keyed = surrogate_key(newest, ["published", "url", "title"], max_id)
     dated = keyed.withColumn("timestamp_id", date_key("published"))
@@ -34,13 +44,13 @@ def news_to_gold(silver: DataFrame, topic: DataFrame, max_id: int = 0) -> DataFr
 
 
 def comments_to_gold(
-    silver: DataFrame, topic: DataFrame, coin: DataFrame, author: DataFrame
+    silver: DataFrame, topic: DataFrame, coin: DataFrame, author: DataFrame, one_hour: bool = False
 ) -> tuple[DataFrame, DataFrame]:
     """(the newest hour of comments with its keys, the author dimension with new authors).
 
     The authors are materialised once: both outputs must agree on their ids.
     """
-    newest = latest_partition_filter(silver)
+    newest = _hour(silver, one_hour)
     authors = durable(author_dim_union(author, new_authors(newest, author)))
     keyed = newest.withColumn("timestamp_id", date_key("created_utc"))
     keyed = join_coin_dim_name(join_topic_dim(keyed, topic), coin, "subreddit")
@@ -48,9 +58,9 @@ def comments_to_gold(
     return _declared(keyed, "dim_comments"), authors
 
 
-def realtime_to_gold(silver: DataFrame, coin: DataFrame) -> DataFrame:
+def realtime_to_gold(silver: DataFrame, coin: DataFrame, one_hour: bool = False) -> DataFrame:
     """The newest hour of candles with coin and date keys instead of names."""
-    newest = latest_partition_filter(silver)
+    newest = _hour(silver, one_hour)
     dated = newest.withColumns(
         {"starttime_id": date_key("starttime"), "endtime_id": date_key("endtime")}
     )
@@ -59,10 +69,10 @@ def realtime_to_gold(silver: DataFrame, coin: DataFrame) -> DataFrame:
 
 
 def statistic_to_gold(
-    stat: DataFrame, sent: DataFrame, coin: DataFrame, max_id: int = 0
+    stat: DataFrame, sent: DataFrame, coin: DataFrame, max_id: int = 0, one_hour: bool = False
 ) -> DataFrame:
     """The newest hour of indicators joined with their labels, with ids after ``max_id``."""
-    joined = join_indicator_sentiment(latest_partition_filter(stat), latest_partition_filter(sent))
+    joined = join_indicator_sentiment(_hour(stat, one_hour), _hour(sent, one_hour))
     dated = joined.withColumn("timestamp_id", date_key("endtime"))
     keyed = join_coin_dim_prefix(dated, coin).drop("symbol")
     numbered = surrogate_key(keyed, ["endtime", "realtime_id"], max_id)

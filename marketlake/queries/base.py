@@ -207,7 +207,10 @@ def named(symbol: Column) -> Column:
 
 # --- raw candles, as the extract writes them --------------------------------------
 def raw_candles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    b = bars(spark, sf_dir)
+    return raw_candles_of(bars(spark, sf_dir))
+
+
+def raw_candles_of(b: DataFrame) -> DataFrame:
     iso = "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'"
     return b.select(
         "event_id",

@@ -14,8 +14,9 @@ from ..operators import rules
 from ..plans import gold, hour, quality_jobs, watched
 from ..plans.silver import to_silver
 from ..runtime import durable, work_dir
-from ..schemas import GOLD, NEWS_CONTRACT, PARTITION_COLUMNS
+from ..schemas import NEWS_CONTRACT, PARTITION_COLUMNS
 from ..sinks.files import raw_landing_write
+from ..sources.tables import hourly_extract
 from ..streaming import batches
 from .base import (
     COINS_SQL,
@@ -31,6 +32,7 @@ from .base import (
     query,
     r6,
     raw_candles,
+    raw_candles_of,
     raw_candles_sql,
     sql_r6,
 )
@@ -136,10 +138,13 @@ def _(spark, sf):
 
 
 def raw_indicators(spark, sf):
+    # Indicators and labels come from the same rows, computed once.
+    return as_extracted(durable(indicator_series(bars(spark, sf), MINUTES)))
+
+
+def as_extracted(series):
     """Indicators and labels as the extract writes them; labels of oversold candles are missing."""
     iso = F.date_format("endtime", "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'")
-    # Indicators and labels come from the same rows, computed once.
-    series = durable(indicator_series(bars(spark, sf), MINUTES))
     labeled = sentiment_labels(series)
     symbol = F.concat(F.upper("symbol"), F.lit("USDT"))
     stat = series.withColumns({"id": F.col("event_id"), "endtime": iso, "symbol": symbol})
@@ -164,7 +169,11 @@ def _(spark, sf):
 
 # --- gold: silver rows are partitioned by their own time here -----------------------
 def by_own_time(df, ts):
-    return df.withColumns(partition_parts(ts))
+    """Silver rows stored by the hour of their own time and read back, as gold loads find them."""
+    rows = df.withColumns(partition_parts(ts))
+    path = work_dir(df.sparkSession, "silver")
+    rows.write.partitionBy(*PARTITION_COLUMNS).parquet(path)
+    return df.sparkSession.read.schema(rows.schema).parquet(path)
 
 
 def hour_parts(ts: str) -> str:
@@ -200,9 +209,40 @@ def _(spark, sf):
     root, at = work_dir(spark, "hour"), datetime(2024, 1, 31, 5)
     raw_landing_write(news(spark, sf), f"{root}/raw", "news", at)
     topics = dims.dim_topic(spark)
-    result = hour.news_hour(spark, root, at, topics, max_id=500)
-    hour.news_hour(spark, root, at, topics, max_id=500)
-    return spark.read.schema(GOLD["dim_news"]).parquet(result.gold)
+    for _ in range(2):
+        hour.news_hour(spark, root, at, topics, max_id=500)
+    return hour.gold_table(spark, root, "dim_news")
+
+
+def part_of_news(part):
+    """News whose number leaves one of two rests of 3."""
+    return f"CAST(substr(title, 5) AS BIGINT) % 3 IN ({part}, {part + 1})"
+
+
+NEWS_OF = [CLEAN_NEWS.replace("WHERE text <> ''", f"WHERE text <> '' AND {part_of_news(part)}") for part in (0, 1)]
+
+
+def hour_news_sql(source, start, at):
+    return f"""
+  SELECT {start} + row_number() OVER (ORDER BY n.published_ts, n.url, n.title) AS id, t.id_topic, n.domain,
+         n.title, n.url, n.text, n.published_ts AS published,
+         strftime(n.published_ts, '%Y%m%d') AS timestamp_id, n.author, n.source,
+         2024 AS year, 1 AS month, 31 AS day, {at} AS hour
+  FROM ({source}) n LEFT JOIN ({TOPICS_SQL}) t ON t.topic = {TOPIC}"""
+
+
+@query("news_hours", hour_news_sql(NEWS_OF[0], 0, 6) + " UNION ALL " + hour_news_sql(
+    f"SELECT * FROM ({NEWS_OF[1]}) WHERE url NOT IN (SELECT url FROM ({NEWS_OF[0]}))", f"(SELECT count(*) FROM ({NEWS_OF[0]}))", 5))
+def _(spark, sf):
+    """Hour 6, then hour 5, which is late and shares articles with it, then both again: every url
+    once, every id once, and each hour as it was."""
+    root, topics = work_dir(spark, "hours"), dims.dim_topic(spark)
+    runs = {at: datetime(2024, 1, 31, at) for at in (6, 5)}
+    for part, at in enumerate(runs.values()):
+        raw_landing_write(news(spark, sf).where(part_of_news(part)), f"{root}/raw", "news", at)
+    for at in (6, 5, 5, 6):
+        hour.news_hour(spark, root, runs[at], topics)
+    return hour.gold_table(spark, root, "dim_news")
 
 
 def silver_comments(spark, sf):
@@ -234,6 +274,29 @@ def _(spark, sf):
     return rows
 
 
+HOUR_AUTHORS = AUTHORS_SQL.replace(
+    f"FROM ({COMMENTS_SQL})\n  WHERE author IS NOT NULL AND author NOT IN",
+    f"FROM ({CLEAN_COMMENTS})\n  WHERE author IS NOT NULL AND author NOT IN",
+)
+
+
+@query("comments_hour", f"""
+  SELECT k.coin_id, CAST(2 AS BIGINT) AS id_topic, c.created_ts AS created_utc,
+         strftime(c.created_ts, '%Y%m%d') AS timestamp_id, c.title, a.id_author, c.score, c.url, c.id,
+         c.selftext AS self_text, c.num_comments, 2024 AS year, 1 AS month, 31 AS day, 5 AS hour
+  FROM ({CLEAN_COMMENTS}) c
+  LEFT JOIN (VALUES (CAST(1 AS BIGINT), 'bitcoin'), (3, 'ethereum')) AS k(coin_id, name) ON c.subreddit = k.name
+  LEFT JOIN ({HOUR_AUTHORS}) a ON c.author = a.author""")
+def _(spark, sf):
+    """An hour of comments from its raw folder to gold with its new authors, run twice."""
+    root, at = work_dir(spark, "hour"), datetime(2024, 1, 31, 5)
+    raw_landing_write(comments(spark, sf), f"{root}/raw", "comments", at)
+    known = durable(known_authors(spark, sf))
+    for _ in range(2):
+        hour.comments_hour(spark, root, at, dims.dim_topic(spark), dims.dim_coin(spark), known)
+    return hour.gold_table(spark, root, "dim_comments")
+
+
 def silver_realtime(spark, sf):
     clean = quality_jobs.realtime_quality(raw_candles(spark, sf)).clean
     return by_own_time(to_silver(clean, "realtime", "2024-01-01"), "starttime")
@@ -248,12 +311,57 @@ def _(spark, sf):
     return gold.realtime_to_gold(silver_realtime(spark, sf), coins(spark, sf))
 
 
+LAST_HOUR_SQL = f"(SELECT date_trunc('hour', max(endtime)) FROM ({candles_sql()}))"
+
+
+def last_hour(spark, sf, rows):
+    """The rows of the extract of the last full hour of the candles, and that hour."""
+    end = rows.agg(F.date_trunc("hour", F.max("endtime"))).first()[0]
+    return hourly_extract(rows, end), datetime(2024, 1, 31, 5)
+
+
+@query("realtime_hour", f"""
+  SELECT r.event_id AS realtime_id, c.coin_id, r."interval", r.starttime,
+         strftime(r.starttime, '%Y%m%d') AS starttime_id, r.endtime, strftime(r.endtime, '%Y%m%d') AS endtime_id,
+         r.volume, r.quotevolume, r.open, r.close, r.highest, r.lowest, 2024 AS year, 1 AS month, 31 AS day, 5 AS hour
+  FROM ({raw_candles_sql()}) r LEFT JOIN ({COINS_SQL}) c ON lower(r.name) = c.name
+  WHERE r.endtime < {LAST_HOUR_SQL} AND r.endtime >= {LAST_HOUR_SQL} - INTERVAL 1 HOUR""")
+def _(spark, sf):
+    """The candles of the last full hour from their extract to gold, run twice."""
+    root = work_dir(spark, "hour")
+    own, at = last_hour(spark, sf, bars(spark, sf))
+    raw = raw_candles_of(own)
+    for _ in range(2):
+        hour.realtime_hour(spark, root, at, raw, coins(spark, sf))
+    return hour.gold_table(spark, root, "dim_realtime")
+
+
+@query("statistic_hour", f"""
+  SELECT 900 + row_number() OVER (ORDER BY n.endtime NULLS FIRST, s.event_id) AS id, c.coin_id, s.event_id AS realtime_id,
+         strftime(n.endtime, '%Y%m%d') AS timestamp_id, n.endtime,
+         {sql_r6(*(f"s.{n}" for n in NUMBERS)).replace("AS s.", "AS ").replace("AS bb", "AS bolling_band")},
+         {", ".join(f"n.{n}" for n, _, _ in LABELS)},
+         {", ".join(f"CASE WHEN n.event_id IS NOT NULL THEN {v} END AS {p}" for p, v in zip(PARTITION_COLUMNS, (2024, 1, 31, 5)))}
+  FROM (SELECT * FROM ({SERIES}) WHERE endtime < {LAST_HOUR_SQL} AND endtime >= {LAST_HOUR_SQL} - INTERVAL 1 HOUR) s
+  LEFT JOIN (SELECT * FROM ({LABELED}) WHERE rsi10 >= 20) n ON s.event_id = n.event_id
+  LEFT JOIN ({COINS_SQL}) c ON upper(s.symbol) = c.symbol""")
+def _(spark, sf):
+    """Indicators and labels of the last full hour from their extract to gold, run twice."""
+    root = work_dir(spark, "hour")
+    own, at = last_hour(spark, sf, durable(indicator_series(bars(spark, sf), MINUTES)))
+    stat, sent = as_extracted(own)
+    for _ in range(2):
+        hour.statistic_hour(spark, root, at, stat, sent, coins(spark, sf), max_id=900)
+    rows = hour.gold_table(spark, root, "coin_sentiment_statistic")
+    return r6(rows, *[("bolling_band" if n == "bb" else n) for n in NUMBERS])
+
+
 def silver_indicators(spark, sf):
     checked = quality_jobs.stat_sent_quality(*raw_indicators(spark, sf))
     # A candle belongs to the hour it started in.
     started = F.col("endtime") - F.expr("INTERVAL 1 MINUTE")
     return [
-        to_silver(c.clean, entity, "2024-01-01").withColumns(partition_parts(started))
+        by_own_time(to_silver(c.clean, entity, "2024-01-01"), started)
         for c, entity in zip(checked, ("technical", "sentiment"))
     ]
 

@@ -5,11 +5,11 @@ from __future__ import annotations
 import time
 from collections.abc import Callable
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructType, TimestampType
 
+from ..sources.tables import parquet_or_empty
 from .batches import Handler
 
 FLUSH_AT = 5  # fixed value: records at which a batch is handed over
@@ -64,19 +64,9 @@ class Spool:
 
     def _waiting(self, spark: SparkSession, last: int) -> DataFrame:
         folder = f"{self.path}/after={last}"
-        try:
-            return spark.read.schema(self.stored).option("basePath", folder).parquet(f"{folder}/{BATCH}=*")
-        except AnalysisException as missing:
-            if missing.getCondition() != "PATH_NOT_FOUND":
-                raise
-            return spark.createDataFrame([], self.stored)
+        return parquet_or_empty(spark, f"{folder}/{BATCH}=*", self.stored, folder)
 
     def _handed_over(self, spark: SparkSession) -> int:
-        try:
-            marks = spark.read.schema("number long").option("basePath", self.path).parquet(f"{self.path}/mark=*")
-        except AnalysisException as missing:
-            if missing.getCondition() != "PATH_NOT_FOUND":
-                raise
-            return -1
+        marks = parquet_or_empty(spark, f"{self.path}/mark=*", "number long", self.path)
         newest = marks.agg(F.max("number")).first()[0]
         return -1 if newest is None else newest
