@@ -22,7 +22,11 @@ def hashes(text):
 def sentences(text):
     """(begin, end, words) of each sentence, word by word."""
     words = list(WORD.finditer(text))
-    cuts = [w % spans.CUT == 0 for w in hashes(text).tolist()]
+    own = hashes(text).tolist()
+    cuts = [False] * len(own)
+    for i in range(len(own) - spans.LONG + 1):
+        least = min(own[i : i + spans.LONG])
+        cuts[max(k for k in range(i, i + spans.LONG) if own[k] == least)] = True
     closed, out = [], []
     for k, m in enumerate(words):
         nxt = words[k + 1].start() if k + 1 < len(words) else len(text)
@@ -160,3 +164,16 @@ def test_worst_places_of_sentence_ends():
     for ends in ((11, 23, 35), (11, 23, 37), (0, 12, 24, 36, 48), (12, 25, 38), (24,), (11, 37), (12, 36)):
         passage = " ".join(w + "." * (k in ends) for k, w in enumerate(words))
         assert keys(f"x. {passage}. y") & keys(f"{'a ' * 30}{passage} {'b ' * 30}"), ends
+
+
+def test_divisions_leave_no_long_sentence_and_do_not_depend_on_neighbours():
+    import pyarrow as pa
+
+    rng = np.random.default_rng(12)
+    texts = [" ".join(f"w{x}" for x in rng.integers(0, 50, n)) for n in (3, 7, 8, 9, 40, 500)] + ["w " * 40, ""]
+    data, at = utf8(pa.array(texts))
+    _, size, first, begins = spans.sentences(data, at)
+    assert size.max() <= spans.LONG
+    for k, text in enumerate(texts):
+        own = spans.sentences(*utf8(pa.array([text])))
+        assert (own[3] == begins[first[k] : first[k + 1]] - at[k]).all()
