@@ -13,43 +13,18 @@ from pyspark.sql.types import StringType
 from .times import column
 
 # Page parts that never belong to the article.
-SKIPPED_BLOCKS = (
+SKIPPED_BLOCKS = frozenset((
     "script", "style", "noscript", "template", "svg", "iframe",
     "nav", "header", "footer", "aside", "figure",
-)
+))
+RAW_BLOCKS = ("script", "style")  # whose text is no markup: they end at their first end tag
+NOTICE = re.compile(r'class="[^"]*\b(?:ad|ads|advert|banner|comment|comments)\b', re.I)
+REGIONS = ("article", "main", "body")  # where the article is looked for, in this order
 # Tags that end a line of text.
-LINE_TAGS = "p|br|div|section|article|main|h[1-6]|li|ul|ol|tr|table|blockquote|pre|hr"
-_BLOCKS = (
-    "script", "style", "noscript", "template", "svg", "iframe",
-    "nav", "header", "footer", "aside", "figure",
-)
-# Tags that end a line of text.
-LINE_TAGS = "p|br|div|section|article|main|h[1-6]|li|ul|ol|tr|table|blockquote|pre|hr"
-# Character references met in page text; the ampersand is undone last.
-CHARACTER_REFERENCES = (
-    ("&lt;", "<"),
-    ("&gt;", ">"),
-    ("&quot;", '"'),
-    ("&#39;", "'"),
-    ("&apos;", "'"),
-    ("&nbsp;", " "),
-    ("&copy;", "©"),
-    ("&middot;", "·"),
-    ("&amp;", "&"),
-)
-
-_BLOCKS = "|".join(rf"{tag}\b.*?</{tag}>" for tag in SKIPPED_BLOCKS)
-# All alternatives start with the same character: elsewhere the search does not try them.
-NOISE_PATTERN = (
-    rf"(?is)<(?:!--.*?-->|{_BLOCKS}"
-    r"""|div[^>]*class="[^"]*\b(?:ad|ads|advert|banner|comment|comments)\b[^"]*"[^>]*>.*?</div>)"""
+LINE_TAGS = frozenset(
+    "p br div section article main h1 h2 h3 h4 h5 h6 li ul ol tr table blockquote pre hr".split()
 )
-ARTICLE_PATTERNS = (
-    r"(?is)<article\b[^>]*>(.*)</article>",
-    r"(?is)<main\b[^>]*>(.*)</main>",
-    r"(?is)<body\b[^>]*>(.*)</body>",
-)
-LINE_PATTERN = rf"(?i)</?(?:{LINE_TAGS})\b[^>]*>"
+MARKUP = re.compile(r"<!--.*?-->|<(/?)([a-zA-Z][a-zA-Z0-9]*)\b([^>]*)>|<[^>]*>", re.S)
 TAG_PATTERN = r"<[^>]*>"
 TITLE_PATTERN = r"(?is)<title\b[^>]*>(.*?)</title>"
 
@@ -62,12 +37,78 @@ def url_domain(url: Column | str) -> Column:
     return F.try_parse_url(column(url), F.lit("AUTHORITY"))
 
 
-@F.pandas_udf(StringType())
-def unescape(text: pd.Series) -> pd.Series:
+def unescape_all(text: pd.Series) -> pd.Series:
     """All named and numeric character references undone, hard blanks as blanks."""
     return text.map(lambda t: html.unescape(t).replace("\xa0", " ") if t and "&" in t else t)
 
 
+@F.pandas_udf(StringType())
+def unescape(text: pd.Series) -> pd.Series:
+    return unescape_all(text)
+
+
+def _block_end(page: str, start: int, name: str, nested: bool) -> int:
+    """Where the element ends whose start tag ends at ``start``, its inner elements of the same
+    name counted; -1 if it never does."""
+    depth = 1
+    for m in re.compile(rf"<(/?){name}\b([^>]*)>", re.I).finditer(page, start):
+        if m[1]:
+            depth -= 1
+        elif nested and not m[2].endswith("/"):
+            depth += 1
+        if not depth:
+            return m.end()
+    return -1
+
+
+def article_lines(page: str | None) -> str | None:
+    """The text of a page without markup and without the blocks that are no article, a line end
+    at each tag that ends a line.
+
+    A block ends at its own end tag, however many of its name it holds; one that never ends is kept, and after
+    it blocks of that name end at the next end tag. Of several articles all are taken and nothing between them;
+    without any, the main part, the body, or all there is.
+    """
+    if page is None:
+        return None
+    parts: dict[str, list[str]] = {name: [] for name in (*REGIONS, "")}
+    inside, broken = dict.fromkeys(REGIONS, 0), set()
+
+    def add(text: str) -> None:
+        parts[""].append(text)
+        for region in REGIONS:
+            if inside[region]:
+                parts[region].append(text)
+
+    at = 0
+    while m := MARKUP.search(page, at):
+        add(page[at : m.start()])
+        at = m.end()
+        name = (m[2] or "").lower()
+        if not name:
+            continue
+        if not m[1] and (name in SKIPPED_BLOCKS or (name == "div" and NOTICE.search(m[3]))):
+            end = _block_end(page, at, name, name not in RAW_BLOCKS and name not in broken)
+            if end < 0 and name not in broken:
+                broken.add(name)
+                end = _block_end(page, at, name, False)
+            at = max(at, end)
+            continue
+        if name in inside:
+            inside[name] = max(0, inside[name] + (-1 if m[1] else 1))
+        if name in LINE_TAGS:
+            add("\n")
+    add(page[at:])
+    texts = ["".join(parts[name]) for name in parts]
+    return next((t for t in texts if t.strip()), "")
+
+
+@F.pandas_udf(StringType())
+def article_text(page: pd.Series) -> pd.Series:
+    """Main text of pages with all character references undone."""
+    return unescape_all(page.map(article_lines))
+
+
 def _tidy(text: Column) -> Column:
     """Single blanks, no blank lines, nothing around."""
     text = F.regexp_replace(text, r"[ \t\r\f]{2,}|[\t\r\f]", " ")
@@ -76,15 +117,8 @@ def _tidy(text: Column) -> Column:
 
 
 def with_article_text(df: DataFrame, page: str, name: str) -> DataFrame:
-    """Adds the main text of a page, one line per block; NULL when nothing is left.
-
-    Each step is a column of its own, so that no pattern runs twice over a page.
-    """
-    df = df.withColumn("_kept", F.regexp_replace(page, NOISE_PATTERN, ""))
-    found = [F.nullif(F.regexp_extract("_kept", p, 1), F.lit("")) for p in ARTICLE_PATTERNS]
-    df = df.withColumn("_body", F.coalesce(*found, "_kept"))
-    lines = F.regexp_replace(F.regexp_replace("_body", LINE_PATTERN, "\n"), TAG_PATTERN, "")
-    return df.withColumn(name, _tidy(unescape(lines))).drop("_kept", "_body")
+    """Adds the main text of a page, one line per block; NULL when nothing is left."""
+    return df.withColumn(name, _tidy(article_text(page)))
 
 
 def page_title(page: Column | str) -> Column:

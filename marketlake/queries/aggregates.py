@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions.times import partition_parts
-from ..operators import keys
+from ..operators import keys, sketches
 from ..operators import profile as pf
 from ..operators.filters import as_instant
+from ..runtime import durable
 from .base import COMMENTS_SQL, NEWS_SQL, comments, load, news, query
 
 
@@ -35,6 +36,24 @@ def _(spark, sf):
     return pf.distinct_profile(news(spark, sf))
 
 
+SKETCHED = ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax",
+            "l_returnflag", "l_linestatus", "l_shipdate")
+
+
+@query("distinct_sketches", " UNION ALL ".join(f"""
+  SELECT '{c}' AS "column", count(*) AS n_rows, count(DISTINCT {c}) + max(CASE WHEN {c} IS NULL THEN 1 ELSE 0 END) AS n_distinct,
+         TRUE AS within FROM lineitem""" for c in SKETCHED))
+def _(spark, sf):
+    """Sketches of every day of shipping, stored, merged over all days, and held against exact counts."""
+    rows = load(spark, sf, "lineitem")
+    stored = durable(sketches.distinct_sketches(rows, [F.to_date("l_shipdate").alias("day")], SKETCHED))
+    exact = durable(pf.distinct_profile(rows, list(SKETCHED)))
+    both = sketches.distinct_estimate(stored).join(exact, "column")
+    off = F.abs(F.col("n_estimate") - F.col("n_distinct"))
+    within = off <= F.col("n_distinct") * F.lit(sketches.relative_error())
+    return both.select("column", "n_rows", "n_distinct", within.alias("within"))
+
+
 @query("date_bounds", f"""
   SELECT min(published_ts) AS min_date, max(published_ts) AS max_date FROM ({NEWS_SQL})""")
 def _(spark, sf):

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions.labels import LABEL_RULES
 from ..operators import indicators as ind
-from ..operators import stats24h, topk, volume
+from ..operators import recursive, stats24h, topk, volume
 from ..operators.bars import INTERVALS, kline_resample, kline_rollup
 from ..operators.sentiment import LABELS, market_regime, sentiment_labels
 from .base import (
@@ -143,6 +143,22 @@ def _(spark, sf):
     return _key(df, "macd", "macd_signal", "macd_hist")
 
 
+@query("macd_history", f"""
+  WITH RECURSIVE c AS MATERIALIZED (
+    SELECT event_id, symbol, endtime, close, row_number() OVER (PARTITION BY symbol ORDER BY endtime, event_id) AS k FROM ({C})),
+  e AS (
+    SELECT *, close AS e12, close AS e26, CAST(0 AS DOUBLE) AS s9 FROM c WHERE k = 1
+    UNION ALL
+    SELECT n.event_id, n.symbol, n.endtime, n.close, n.k, n.e12, n.e26, p_s9 * 0.8 + (n.e12 - n.e26) * 0.2 AS s9
+    FROM (SELECT c.*, c.close * 2 / 13 + e.e12 * 11 / 13 AS e12, c.close * 2 / 27 + e.e26 * 25 / 27 AS e26, e.s9 AS p_s9
+          FROM e JOIN c ON c.symbol = e.symbol AND c.k = e.k + 1) n)
+  SELECT {KEY}, {sql_r6("macd", "macd_signal", "macd_hist")}
+  FROM (SELECT *, e12 - e26 AS macd, s9 AS macd_signal, e12 - e26 - s9 AS macd_hist FROM e)""")
+def _(spark, sf):
+    """MACD, signal and histogram whose means go back to the first candle."""
+    return _key(recursive.macd_history(bars(spark, sf), MINUTES), "macd", "macd_signal", "macd_hist")
+
+
 BANDS = f"""
   SELECT *, middle + 2 * std AS bb_upper, middle - 2 * std AS bb_lower, middle AS bb_middle,
          ((middle + 2 * std) - (middle - 2 * std)) / middle * 100 AS bb

@@ -146,6 +146,19 @@ def test_page_text(spark):
     assert page_text(spark, "<p>it&#8217;s &mdash; &eacute;&#xe9; &hellip;&nbsp;x</p>") == "it’s — éé … x"
 
 
+def test_nested_blocks_and_several_articles(spark):
+    ad = '<div class="ad"><div><div>buy</div>now</div><p>cheap</p></div>'
+    page = f"<body><p>before</p><article><p>One</p>{ad}<p>two</p></article><p>between</p><article>Three<article>four</article></article><p>after</p></body>"
+    assert page_text(spark, page) == "One\ntwo\nThree\nfour"
+    assert page_text(spark, "<nav><ul><nav>in</nav>still</ul></nav><p>text</p>") == "text"
+    assert page_text(spark, "<script>if (a < b) '<script>'</script><p>text</p>") == "text"
+    # blocks that never end are kept, and those of their name after them end where they can
+    assert page_text(spark, '<p>a</p><div class="ad"><div>b</div><p>c</p>') == "a\nc"
+    assert page_text(spark, "<p>a</p><aside>b<p>c</p>") == "a\nb\nc"
+    assert page_text(spark, "<main>m<article></article></main>") == "m"
+    assert page_text(spark, "<aside>" * 3000 + "x") == "x"
+
+
 def test_domains(spark):
     assert one(spark, "https://u:p@host.example.com:8080/a?b#c", text.url_domain) == "u:p@host.example.com:8080"
     assert one(spark, "no url at all", text.url_domain) is None
