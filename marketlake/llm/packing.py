@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import os
 import re
+import sys
+import types
 import zlib
 from array import array
 from collections.abc import Iterator
@@ -14,12 +16,17 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-WHITE = "\n\t\r\x0b\f"
+from .arrow import blocks, runs, utf8
+
+IS_WHITE = np.zeros(256, bool)
+IS_WHITE[[32, *range(9, 14)]] = True
+BLOCK = 1 << 22  # bytes of texts whose parts are looked up together
 # Letters below U+0250 but the one whose small form is no letter, then marks: what the tokenizer
 # divides there as well, whatever stands around it.
 WORD = re.compile(r"([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f]+)([!-/:-@\[-`{-~]*)")
 TOGETHER = 200
-MOST_WORDS = 600_000  # remembered at a time
+MOST_BYTES = 96 << 20  # remembered at a time, with about 160 bytes for each part
+LONGEST = 256  # characters of a part that is remembered
 TASK_BITS = 33
 
 
@@ -54,6 +61,18 @@ class Encoder:
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends[[i for word, i in vocabulary.items() if word.endswith("</w>")]] = True
         self.known: dict[str, bytes] = {}
+        self.size = 0
+
+    @staticmethod
+    def of_worker(path: str) -> Encoder:
+        """The encoder of this Python worker for a file: tasks that follow know its words.
+
+        Kept in a module of its own, as this one comes anew with every task.
+        """
+        holder = sys.modules.setdefault("_marketlake_encoders", types.ModuleType("_marketlake_encoders"))
+        if path not in holder.__dict__:
+            setattr(holder, path, Encoder(path))
+        return getattr(holder, path)
 
     def _learn(self, parts: list[str]) -> None:
         found = self.tokenizer.encode_batch_fast(parts, add_special_tokens=False)
@@ -73,17 +92,18 @@ class Encoder:
                 self.known[word] = data[begin:stop]
                 begin = stop
 
-    def __call__(self, texts: list[str | None]) -> list[bytes]:
-        if len(self.known) > MOST_WORDS:
+    def _of_parts(self, parts: list[str]) -> list[bytes]:
+        """Ids of different parts."""
+        if self.size > MOST_BYTES:
             self.known.clear()
+            self.size = 0
         known = self.known
-        rows = []
-        for t in texts:
-            for c in WHITE:
-                t = t.replace(c, " ") if t and c in t else t
-            rows.append(t.split(" ") if t else [])
+        found = [known.get(p) for p in parts]
+        new = [p for p, ids in zip(parts, found, strict=True) if ids is None]
+        if not new:
+            return found
         marked, words, rest = [], set(), set()
-        for part in set().union(*rows).difference(known):
+        for part in new:
             m = WORD.fullmatch(part)
             if m is None:
                 rest.add(part)
@@ -97,7 +117,36 @@ class Encoder:
         self._learn(list(rest.difference(known)))
         for part, word, marks in marked:
             known[part] = known[word] + known[marks]
-        return [b"".join([known[w] for w in row]) for row in rows]
+        out = [known[p] if ids is None else ids for p, ids in zip(parts, found, strict=True)]
+        for part in words.union(rest, new):
+            if len(part) > LONGEST:
+                del known[part]
+            else:
+                self.size += 160 + len(part) + len(known[part])
+        return out
+
+    def columns(self, column: pa.Array) -> Iterator[bytes]:
+        """Ids of every text of a column: the different parts of a block of texts are looked up
+        once each, and the ids of texts are put together from theirs as arrays."""
+        data, at = utf8(column)
+        for first, last in blocks(at, BLOCK):
+            here, places = data[at[first] : at[last]], at[first : last + 1] - at[first]
+            inside = ~IS_WHITE[here]
+            begins, ends = runs(inside, places)
+            bounds = pa.py_buffer(np.concatenate([[0], np.cumsum(ends - begins)]).astype(np.int64))
+            parts = pa.LargeStringArray.from_buffers(len(begins), bounds, pa.py_buffer(here[inside])).dictionary_encode()
+            found = self._of_parts(parts.dictionary.to_pylist())
+            sizes = np.array([len(x) // 4 for x in found], np.int64)
+            flat, begin = np.frombuffer(b"".join(found), "<u4"), np.cumsum(sizes) - sizes
+            which = parts.indices.to_numpy()
+            total = np.concatenate([[0], np.cumsum(sizes[which])]) if len(which) else np.zeros(1, np.int64)
+            ids = flat[np.repeat(begin[which] - total[:-1], sizes[which]) + np.arange(total[-1])].tobytes() if total[-1] else b""
+            stops = 4 * total[np.searchsorted(begins, places)]
+            for a, b in zip(stops[:-1].tolist(), stops[1:].tolist(), strict=True):
+                yield ids[a:b]
+
+    def __call__(self, texts: list[str | None]) -> list[bytes]:
+        return list(self.columns(pa.array(texts, pa.large_string())))
 
 
 def fill(
@@ -209,7 +258,7 @@ def packed(
     kind = f"`{id}` {dict(df.dtypes)[id]}, {FIELDS}" + (", ids array<long>" if ids else "")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, number = Encoder(tokenizer), TaskContext.get().partitionId() << TASK_BITS
+        encode, number = Encoder.of_worker(tokenizer), TaskContext.get().partitionId() << TASK_BITS
         names, whole, places, bodies = [], [], [], []  # of the pieces not yet placed
 
         def told(rows: list[list[tuple[int, int, int]]]) -> pa.RecordBatch:
@@ -240,7 +289,7 @@ def packed(
                 [places[i] + start for i, start, _ in rest],
                 [bodies[i][4 * start : 4 * (start + n)] for i, start, n in rest],
             )
-            found = [x + end.to_bytes(4, "little") for x in encode(batch.column(text).to_pylist())]
+            found = [x + end.to_bytes(4, "little") for x in encode.columns(batch.column(text))]
             names += batch.column(id).to_pylist()
             whole += [len(x) // 4 for x in found]
             places += [0] * len(found)
