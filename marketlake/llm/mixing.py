@@ -153,9 +153,11 @@ def mixed(
     """``df`` with ``tokens``, ``weight``, ``probability``, ``copies`` and ``kept``.
 
     ``weight`` is the raked share of the row's (source, lang, topic) over its natural share, to
-    six decimals; a row is drawn with ``probability`` = min(1, weight). ``copies`` = floor(weight + u)
-    has the weight as its mean, for readers who may repeat rows; ``kept`` is copies > 0. ``u`` is
-    uniform and comes from ``id`` and ``seed`` alone, so repeated rows are drawn together.
+    six decimals. A sample that meets the targets holds a row ``copies`` = floor(weight + u) times,
+    which has the weight as its mean: once with the probability of the weight below 1, and as
+    often as the weight says above. ``probability`` = min(1, weight) is that of being in it at all, ``kept`` is
+    copies > 0. ``u`` is uniform and comes from ``id`` and ``seed`` alone, so repeated rows are
+    drawn together. :func:`sampled` gives the sample itself.
 
     Null sources and languages are a value of their own. Rows are summed to cells before any
     shuffle; the cells are written, so a small table of weights is broadcast by its known size
@@ -163,32 +165,43 @@ def mixed(
     five results are replaced.
     """
     keys = {d: F.coalesce(F.col(d), F.lit(NONE)) for d in DIMS[:2]}
-    own = df.withColumns({"_source": keys["source"], "_lang": keys["lang"], "_topic": topic, "_tokens": tokens})
+    # helper columns whose names no column of df has
+    free = max(len(c) for c in df.columns) * "_"
+    places, size, share = [free + d for d in DIMS], free + "tokens", free + "weight"
+    own = df.withColumns({**dict(zip(places, (keys["source"], keys["lang"], topic), strict=True)), size: tokens})
     cells = durable(
-        own.groupBy("_source", "_lang", "_topic")
-        .agg(F.sum("_tokens").alias("tokens"))
-        .select(*[F.col(f"_{d}").alias(d) for d in DIMS], "tokens")
+        own.groupBy(*places)
+        .agg(F.sum(size).alias("tokens"))
+        .select(*[F.col(p).alias(d) for p, d in zip(places, DIMS, strict=True)], "tokens")
     )
     weights = durable(
         rake(cells, targets, sweeps).select(
-            *[F.col(d).alias(f"_{d}") for d in DIMS], (F.round("weight", 6) + F.lit(0.0)).alias("_weight")
+            *[F.col(d).alias(p) for p, d in zip(places, DIMS, strict=True)], (F.round("weight", 6) + F.lit(0.0)).alias(share)
         )
     )
     name = F.concat_ws(":", F.coalesce(F.col(id).cast("string"), F.lit("")), F.lit(str(seed)))
     u = F.conv(F.substring(F.md5(name), 1, 8), 16, 10).cast("double") / F.lit(float(1 << 32))
-    copies = F.floor(F.col("_weight") + u).cast("long")
+    copies = F.floor(F.col(share) + u).cast("long")
     dropped = [c for c in ("tokens", "weight", "probability", "copies", "kept") if c in df.columns]
     return (
-        own.join(weights, ["_source", "_lang", "_topic"])
+        own.join(weights, places)
         .drop(*dropped)
         .withColumns(
             {
-                "tokens": F.col("_tokens"),
-                "weight": F.col("_weight"),
-                "probability": F.least(F.col("_weight"), F.lit(1.0)),
+                "tokens": F.col(size),
+                "weight": F.col(share),
+                "probability": F.least(F.col(share), F.lit(1.0)),
                 "copies": copies,
                 "kept": copies > 0,
             }
         )
-        .drop("_source", "_lang", "_topic", "_tokens", "_weight")
+        .drop(*places, size, share)
     )
+
+
+def sampled(df: DataFrame) -> DataFrame:
+    """The rows of a frame from :func:`mixed`, each as often as ``copies`` says, its columns as
+    they are. Copies of a row are made where it is."""
+    free = max(len(c) for c in df.columns) * "_" + "copy"
+    drawn = df.where(F.col("copies") > 0)
+    return drawn.withColumn(free, F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))).drop(free)

@@ -2,12 +2,10 @@
 
 from __future__ import annotations
 
-from dataclasses import replace
-
 from pyspark.sql import functions as F
 
 from . import cotraining, secrets
-from .chat import perspectives
+from .chat import TURNS, perspectives
 from .codes import compressed
 from .curves import nearest
 from .html import extracted
@@ -21,27 +19,34 @@ from .rules import POLICIES, RULES, ledger, passes
 from .spans import without_repeats
 
 # --- 3: chat formatting ---------------------------------------------------------
-CHAT_SQL = """
+CHAT_SQL = f"""
 WITH own AS (
   SELECT conv_id, replace(coalesce(role, 'unknown'), '<|', '<\\|') AS role,
     replace(coalesce(text, ''), '<|', '<\\|') AS said,
     row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, replace(coalesce(role, 'unknown'), '<|', '<\\|'),
       replace(coalesce(text, ''), '<|', '<\\|')) - 1 AS k
   FROM conversations),
-speakers AS (SELECT DISTINCT conv_id, k // 64 AS part, role AS speaker FROM own WHERE role <> 'system'),
+parts AS (SELECT DISTINCT conv_id, k // {TURNS} AS part FROM own),
+led AS (
+  SELECT p.conv_id, p.part, arg_max(o.said, o.k) AS said FROM parts p
+  JOIN own o ON p.conv_id IS NOT DISTINCT FROM o.conv_id AND o.role = 'system' AND o.k < p.part * {TURNS} GROUP BY ALL),
+turns AS (
+  SELECT conv_id, k // {TURNS} AS part, k, role, said FROM own
+  UNION ALL SELECT conv_id, part, -1, 'system', said FROM led),
+speakers AS (SELECT DISTINCT conv_id, role AS speaker FROM own WHERE role <> 'system'),
 pieces AS (
-  SELECT s.conv_id, s.part, s.speaker, o.k, o.role = s.speaker AS loss,
+  SELECT s.conv_id, o.part, s.speaker, o.k, o.role = s.speaker AS loss,
     CASE WHEN o.role = 'system' THEN '<|im_start|>system' || chr(10)
       WHEN o.role = s.speaker THEN '<|im_start|>assistant' || chr(10)
       ELSE '<|im_start|>user name=' || o.role || chr(10) END AS head,
     o.said || '<|im_end|>' AS body
-  FROM speakers s JOIN own o ON s.conv_id IS NOT DISTINCT FROM o.conv_id AND s.part = o.k // 64),
+  FROM speakers s JOIN turns o ON s.conv_id IS NOT DISTINCT FROM o.conv_id),
 placed AS (
   SELECT *, coalesce(sum(length(head) + length(body) + 1) OVER (PARTITION BY conv_id, part, speaker ORDER BY k
     ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT + length(head) AS start FROM pieces)
-SELECT conv_id, part::INTEGER AS part, speaker, count(*)::BIGINT AS n_turns, count(*) FILTER (loss)::BIGINT AS n_loss_turns,
+SELECT conv_id, part::INTEGER AS part, speaker, count(*) FILTER (k >= 0)::BIGINT AS n_turns, count(*) FILTER (loss)::BIGINT AS n_loss_turns,
   string_agg(head || body || chr(10), '' ORDER BY k) AS text,
-  string_agg(start || ':' || (start + length(body)), ',' ORDER BY k) FILTER (loss) AS mask
+  coalesce(string_agg(start || ':' || (start + length(body)), ',' ORDER BY k) FILTER (loss), '') AS mask
 FROM placed GROUP BY conv_id, part, speaker
 """
 
@@ -98,7 +103,8 @@ def rule_ledger(spark, sf_dir):
 # --- 9: mixing ----------------------------------------------------------------------
 MIX = {
     "source": Target(temper=0.7),
-    "lang": Target({"en": 0.55, "fr": 0.17, "de": 0.17, "es": 0.11}),
+    # null and all other languages keep their natural share
+    "lang": Target({"en": 0.55, "fr": 0.17, "de": 0.17, "es": 0.11}, spare=True),
     "topic": Target(temper=0.9),
 }
 
@@ -133,8 +139,12 @@ WITH own AS (
   FROM {documents}),
 plain AS (SELECT _source AS source, _lang AS lang, _topic AS topic, sum(_tokens)::DOUBLE AS tokens FROM own GROUP BY ALL),
 src AS (SELECT source, pow(sum(tokens), 0.7) AS x FROM plain GROUP BY source),
-lng AS (SELECT lang, CASE lang WHEN 'en' THEN 0.55 WHEN 'fr' THEN 0.17 WHEN 'de' THEN 0.17 WHEN 'es' THEN 0.11 ELSE 0 END AS x
+asked AS (
+  SELECT lang, sum(tokens) AS n, CASE lang WHEN 'en' THEN 0.55 WHEN 'fr' THEN 0.17 WHEN 'de' THEN 0.17 WHEN 'es' THEN 0.11 END AS share
   FROM plain GROUP BY lang),
+lng AS (
+  SELECT lang, CASE WHEN share IS NULL THEN n / sum(n) OVER () ELSE share / sum(share) OVER ()
+    * (1 - coalesce(sum(n) FILTER (share IS NULL) OVER (), 0) / sum(n) OVER ()) END AS x FROM asked),
 tpc AS (SELECT topic, pow(sum(tokens), 0.9) AS x FROM plain GROUP BY topic),
 cells AS (
   SELECT source, lang, topic, tokens, src.x / (SELECT sum(x) FROM src) AS t_source,
@@ -155,10 +165,6 @@ MIX_SQL = (
 )
 
 
-# The SQL of op9 leaves nothing to null and unlisted languages; where no SQL says so, they keep their share.
-MIX_ALL = MIX | {"lang": replace(MIX["lang"], spare=True)}
-
-
 def mix(df, targets=MIX):
     return mixed(df, targets, topic_of(), words())
 

@@ -67,14 +67,20 @@ def test_chat(same, llm):
         (3, 0, "system", "alone"),
     ]
     rows += [(9, k, f"s{k % 5}", "t" * (k % 7)) for k in range(300)] + [(10, 0, "user", "again")] * 150
+    rows += [(11, 0, "system", "one"), (11, 1, "early", "I was here"), (11, 1500, "system", "two")]
+    rows += [(11, 2 + k, "ann", "la" * (k % 3)) for k in range(2500)] + [(None, k, "user", "no id") for k in range(1, 1100)]
     df = llm.createDataFrame(rows, CHAT)
     found = same("op3_chat_perspectives", "conversations", df.selectExpr("*", "role AS speaker", "1 AS part"))
     for r in found:
-        for span in r["mask"].split(","):
+        for span in filter(None, r["mask"].split(",")):
             a, b = map(int, span.split(":"))
             assert r["text"][a:b].endswith("<|im_end|>") and r["text"][:a].endswith("<|im_start|>assistant\n")
         assert r["text"].count("<|im_start|>assistant\n") == r["n_loss_turns"]
-    assert {(r["speaker"], r["part"]) for r in found if r["conv_id"] == 9} == {(f"s{s}", p) for s in range(5) for p in range(5)}
+    assert {(r["speaker"], r["part"], r["n_turns"]) for r in found if r["conv_id"] == 9} == {(f"s{s}", 0, 300) for s in range(5)}
+    # a dialogue beyond one part: everyone in every part, led by the system turn in force
+    assert {(r["speaker"], r["part"]) for r in found if r["conv_id"] == 11} == {(s, p) for s in ("ann", "early") for p in range(3)}
+    led = {r["part"]: r["text"] for r in found if r["conv_id"] == 11 and r["speaker"] == "early"}
+    assert [led[p].startswith(f"<|im_start|>system\n{s}<|im_end|>") for p, s in ((0, "one"), (1, "one"), (2, "two"))] == [True] * 3
     assert not [r for r in found if r["conv_id"] == 3]
 
 
