@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marketlake.llm import cotraining, neardup, queries, secrets
+from marketlake.llm.mixing import sampled
 from marketlake.llm.registry import ready, table
 from marketlake.runtime import durable
 
@@ -38,10 +39,11 @@ def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Draws documents so that sources, languages and topics come to their shares; null and other
-    languages than the listed ones keep their natural share."""
+    """Draws documents so that sources, languages and topics come to their shares of tokens: some
+    not at all, some more than once. Null and other languages than the listed ones keep their
+    natural share."""
     ready(spark)
-    return queries.mix(docs.select(*COLUMNS), queries.MIX_ALL).where("kept").select(*COLUMNS)
+    return sampled(queries.mix(docs.select(*COLUMNS))).select(*COLUMNS)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
