@@ -6,9 +6,10 @@ from pyspark.sql import functions as F
 
 from ..functions.labels import LABEL_RULES
 from ..operators import indicators as ind
-from ..operators import recursive, stats24h, topk, volume
+from ..operators import recursive, regimes, stats24h, topk, volume
 from ..operators.bars import INTERVALS, kline_resample, kline_rollup
 from ..operators.sentiment import LABELS, market_regime, sentiment_labels
+from ..runtime import durable
 from .base import (
     HOURS,
     MINUTES,
@@ -395,6 +396,27 @@ def _(spark, sf):
     return market_regime({"1m": minutes, **longer})
 
 
+TREND_SQL = "CAST(sign(round(macd, 9)) AS INTEGER)"
+
+
+@query("regime_series", f"""
+  SELECT {", ".join(f"c.{k} AS {k}" for k in ("event_id", "symbol", "endtime"))},
+         {", ".join(f"t{i}.trend AS trend_{i}" for i in INTERVALS)},
+         CASE WHEN least({", ".join(f"t{i}.trend" for i in INTERVALS)}) = 1 THEN 'bullish'
+              WHEN greatest({", ".join(f"t{i}.trend" for i in INTERVALS)}) = -1 THEN 'bearish'
+              WHEN least({", ".join(f"t{i}.trend" for i in INTERVALS)}) = 0
+                AND greatest({", ".join(f"t{i}.trend" for i in INTERVALS)}) = 0 THEN 'neutral' ELSE 'transitional' END AS regime
+  FROM ({C}) c {" ".join(f"""
+  ASOF LEFT JOIN (SELECT symbol, endtime, {TREND_SQL} AS trend FROM ({macd_sql(candles_sql(i))})) t{i}
+    ON c.symbol = t{i}.symbol AND c.endtime >= t{i}.endtime""" for i in INTERVALS)}""")
+def _(spark, sf):
+    """The regime at every minute bar, each interval as it had last closed by then."""
+    minutes = durable(bars(spark, sf, "1m"))
+    longer = {i: kline_rollup(minutes, i) for i in INTERVALS if i != "1m"}
+    found = regimes.regime_series({"1m": minutes, **longer})
+    return found.select("event_id", "symbol", "endtime", *[f"trend_{i}" for i in INTERVALS], "regime")
+
+
 # --- newest rows -------------------------------------------------------------------
 def newest_sql(k: int, source: str = C) -> str:
     return f"""SELECT * FROM ({source})

@@ -4,7 +4,7 @@ import random
 
 from pyspark.sql import functions as F
 
-from marketlake.operators import profile, recursive, sketches
+from marketlake.operators import profile, recursive, regimes, sketches
 from marketlake.operators.slices import Series
 
 
@@ -50,3 +50,24 @@ def test_sketches_of_hours_merge(spark):
         assert set(found) == set(bound)
         for name, n in bound.items():
             assert abs(found[name][0] - n) <= sketches.relative_error() * n and found[name][1] == 20_000
+
+
+def test_last_known_values_over_gaps_and_slices(spark, candles):
+    r = random.Random(9)
+    rows = [(s, m, 1.0) for s in ("a", "b") for m in r.sample(range(4_000), 80)] + [("c", 5, 1.0)]
+    df = candles(rows)
+    events, frames = {}, {}
+    for name in ("x", "y"):
+        events[name] = [(s, m, i if i % 9 else None) for s in ("a", "b") for i, m in enumerate(sorted(r.sample(range(4_000), 25)))]
+        events[name] += [("a", rows[0][1], 77)] if ("a", rows[0][1]) not in {e[:2] for e in events[name]} else []
+        at = candles([(s, m, 0.0) for s, m, _ in events[name]]).select("event_id", "symbol", F.col("endtime").alias("at"))
+        values = spark.createDataFrame([(i, e[2]) for i, e in enumerate(events[name])], "event_id long, value int")
+        frames[name] = at.join(values, "event_id").select("symbol", "at", "value")
+    found = regimes.last_known(df, frames, Series(slice_seconds=7_200)).collect()
+    assert len(found) == len(rows)
+    minute = {x.event_id: rows[x.event_id] for x in found}
+    for x in found:
+        symbol, m, _ = minute[x.event_id]
+        for name in events:
+            past = [e for e in events[name] if e[0] == symbol and e[1] <= m and e[2] is not None]
+            assert x[name] == (max(past, key=lambda e: e[1])[2] if past else None)
