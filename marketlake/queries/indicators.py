@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions.labels import LABEL_RULES
 from ..operators import indicators as ind
-from ..operators import recursive, regimes, stats24h, topk, volume
+from ..operators import recursive, regimes, stats24h, swings, topk, volume
 from ..operators.bars import INTERVALS, kline_resample, kline_rollup
 from ..operators.sentiment import LABELS, market_regime, sentiment_labels
 from ..runtime import durable
@@ -201,6 +201,33 @@ def _(spark, sf):
     return df.select("event_id", "symbol", "endtime", "rsi_divergence", "macd_divergence")
 
 
+WING = swings.WING
+SWUNG = f"""
+  SELECT *, CASE WHEN n = {2 * WING + 1} AND price > high_before AND price >= high_after THEN 'peak'
+              WHEN n = {2 * WING + 1} AND price < low_before AND price <= low_after THEN 'trough' END AS swing
+  FROM (SELECT {KEY}, lag(endtime, {WING}) OVER o AS swing_at, lag(close, {WING}) OVER o AS price,
+          round(lag(rsi10, {WING}) OVER o, 6) AS rsi, round(lag(macd, {WING}) OVER o, 6) AS macd,
+          max(close) OVER early AS high_before, max(close) OVER late AS high_after,
+          min(close) OVER early AS low_before, min(close) OVER late AS low_after,
+          count(*) OVER ({ORDER} ROWS BETWEEN {2 * WING} PRECEDING AND CURRENT ROW) AS n
+        FROM ({macd_sql(rsi_sql(10, "rsi10"))})
+        WINDOW o AS ({ORDER}), early AS ({ORDER} ROWS BETWEEN {2 * WING} PRECEDING AND {WING + 1} PRECEDING),
+          late AS ({ORDER} ROWS BETWEEN {WING - 1} PRECEDING AND CURRENT ROW))
+"""
+
+
+@query("swing_divergence", f"""
+  SELECT {KEY}, swing, swing_at, price, price_before,
+    {", ".join(f"""CASE WHEN swing = 'peak' AND price > price_before AND {v} <= {v}_before THEN 'bearish'
+      WHEN swing = 'trough' AND price < price_before AND {v} >= {v}_before THEN 'bullish' ELSE 'none' END AS {v}_divergence"""
+      for v in swings.VALUES)}
+  FROM (SELECT *, lag(price) OVER k AS price_before, lag(rsi) OVER k AS rsi_before, lag(macd) OVER k AS macd_before
+        FROM ({SWUNG}) WHERE swing IS NOT NULL WINDOW k AS (PARTITION BY symbol, swing ORDER BY endtime, event_id))""")
+def _(spark, sf):
+    """Confirmed peaks and troughs of the minute bars against those before them."""
+    return swings.swing_divergence(bars(spark, sf), series=MINUTES).drop("rsi", "macd")
+
+
 # --- volume profile ---------------------------------------------------------------
 EDGES = """
   CASE WHEN lo = hi

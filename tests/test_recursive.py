@@ -4,7 +4,7 @@ import random
 
 from pyspark.sql import functions as F
 
-from marketlake.operators import profile, recursive, regimes, sketches
+from marketlake.operators import profile, recursive, regimes, sketches, swings
 from marketlake.operators.slices import Series
 
 
@@ -71,3 +71,28 @@ def test_last_known_values_over_gaps_and_slices(spark, candles):
         for name in events:
             past = [e for e in events[name] if e[0] == symbol and e[1] <= m and e[2] is not None]
             assert x[name] == (max(past, key=lambda e: e[1])[2] if past else None)
+
+
+def test_swing_points_with_ties_plateaus_and_slices(spark, candles):
+    r = random.Random(11)
+    closes = [100 + r.randrange(-4, 5) for _ in range(400)] + [100] * 10 + [101] * 9 + [100] * 5
+    df = candles([("a", m, c) for m, c in enumerate(closes)] + [("b", 3, 1.0), ("b", 9, 2.0)])
+    whole = swings.swing_divergence(df, 3, Series(slice_seconds=10**9)).collect()
+    cut = swings.swing_divergence(df, 3, Series(slice_seconds=600)).collect()
+    assert sorted(map(str, whole)) == sorted(map(str, cut))
+    minute = lambda x: (x.swing_at.timestamp() - min(y.swing_at.timestamp() for y in cut)) / 60
+    wanted = {}
+    for i in range(3, len(closes) - 3):
+        before, after = closes[i - 3 : i], closes[i + 1 : i + 4]
+        if closes[i] > max(before) and closes[i] >= max(after):
+            wanted[i] = "peak"
+        elif closes[i] < min(before) and closes[i] <= min(after):
+            wanted[i] = "trough"
+    first = min(wanted)
+    assert {first + minute(x): x.swing for x in cut} == wanted
+    last = {}
+    for x in sorted(cut, key=lambda x: x.endtime):
+        assert (x.endtime - x.swing_at).total_seconds() == 180 and x.price_before == last.get(x.swing)
+        last[x.swing] = x.price
+    marks = {(x.swing, x.rsi_divergence) for x in cut}
+    assert ("peak", "bearish") in marks and ("trough", "bullish") in marks and ("peak", "bullish") not in marks
