@@ -9,6 +9,8 @@ from ..operators.indicators import indicator_series
 from ..operators.keys import surrogate_key
 from ..operators.sentiment import sentiment_labels
 from ..operators.topk import latest_per_symbol
+from ..runtime import work_dir
+from ..sinks import tables
 from .base import (
     COINS_SQL,
     COMMENTS_SQL,
@@ -190,6 +192,22 @@ def _(spark, sf):
     return stats24h.max_cache_upsert(cache, newest)
 
 
+@query("max_cache_next", f"SELECT CAST(symbol AS VARCHAR) AS symbol, max_value, max_timestamp FROM ({UPSERT})")
+def _(spark, sf):
+    """The cache as versions: the old one, a version that was never finished, and the next."""
+    cache, newest = cache_and_newest(spark, sf)
+    root = work_dir(spark, "cache")
+    symbol = F.col("symbol").cast("string").alias("symbol")
+
+    def candles(df, close, ts):
+        return df.select(symbol, F.col(close).alias("close"), F.col(ts).cast("timestamp").alias("endtime"))
+
+    tables.max_cache_next(spark, root, candles(cache, "max_value", "max_timestamp"))
+    cache.limit(0).write.parquet(f"{root}/version=1")
+    tables.max_cache_next(spark, root, candles(newest, "close", "endtime"))
+    return tables.max_cache(spark, root)
+
+
 @query("not_exists_anti", f"""
   SELECT symbol, close, endtime, event_id FROM ({NEWEST}) WHERE symbol NOT IN (SELECT symbol FROM ({OLD}))""")
 def _(spark, sf):

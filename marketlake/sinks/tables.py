@@ -15,6 +15,10 @@ from ..operators.stats24h import max_cache_upsert
 from ..plans.silver import to_silver
 from ..schemas import GOLD, PARTITIONED_BY, SILVER
 from ..sources.raw import json_topic_decode
+from ..sources.tables import parquet_or_empty
+from .marks import Mark
+
+CACHE = "symbol string, max_value double, max_timestamp timestamp"
 
 
 def _write(df: DataFrame, path: str, partition_by: Sequence[str], mode: str) -> None:
@@ -93,6 +97,23 @@ def max_cache_write(cache: DataFrame, newest: DataFrame, path: str) -> None:
     max_cache_upsert(cache, newest).write.mode("overwrite").parquet(path)
 
 
+def max_cache(spark: SparkSession, root: str) -> DataFrame:
+    """The current version of the maximum cache below ``root``; a version that was begun and not
+    finished is not looked at."""
+    number = Mark(spark, root).newest()
+    return parquet_or_empty(spark, f"{root.rstrip('/')}/version={number}" if number >= 0 else [], CACHE)
+
+
+def max_cache_next(spark: SparkSession, root: str, newest: DataFrame) -> int:
+    """Writes the next version of the cache below ``root`` and makes it the current one; returns
+    its number. Readers see the old version until the new one is whole; a step that fails is
+    simply done again."""
+    number = Mark(spark, root).newest() + 1
+    max_cache_write(max_cache(spark, root), newest, f"{root.rstrip('/')}/version={number}")
+    Mark(spark, root).set(number)
+    return number
+
+
 def lakehouse_ddl(
     spark: SparkSession, root: str, prefix: str = "", fmt: str = "parquet"
 ) -> list[str]:

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructType, TimestampType
 
+from ..sinks.marks import Mark
 from ..sources.tables import parquet_or_empty
 from .batches import Handler
 
@@ -37,7 +38,7 @@ class Spool:
 
     def __call__(self, batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
-        last = self._handed_over(spark)
+        last = Mark(spark, self.path).newest()
         if number <= last:
             return  # it was handed over, but the stream was stopped before it knew
         folder = f"{self.path}/after={last}"
@@ -51,7 +52,7 @@ class Spool:
 
     def finish(self, spark: SparkSession) -> int:
         """Hands over what still waits when the input has ended; the number of rows."""
-        waiting = self._waiting(spark, self._handed_over(spark))
+        waiting = self._waiting(spark, Mark(spark, self.path).newest())
         seen = waiting.agg(F.count(F.lit(1)).alias("n"), F.max(BATCH).alias("newest")).first()
         if seen["n"]:
             self._hand_over(spark, waiting, seen["newest"])
@@ -59,14 +60,8 @@ class Spool:
 
     def _hand_over(self, spark: SparkSession, waiting: DataFrame, number: int) -> None:
         self.fn(waiting.select(*self.names), number)
-        # two marks in turn: one of them is whole whenever the other is being written
-        spark.range(number, number + 1).toDF("number").write.mode("overwrite").parquet(f"{self.path}/mark={number % 2}")
+        Mark(spark, self.path).set(number)
 
     def _waiting(self, spark: SparkSession, last: int) -> DataFrame:
         folder = f"{self.path}/after={last}"
         return parquet_or_empty(spark, f"{folder}/{BATCH}=*", self.stored, folder)
-
-    def _handed_over(self, spark: SparkSession) -> int:
-        marks = parquet_or_empty(spark, f"{self.path}/mark=*", "number long", self.path)
-        newest = marks.agg(F.max("number")).first()[0]
-        return -1 if newest is None else newest
