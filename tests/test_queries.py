@@ -1,5 +1,9 @@
 """Every registered query against its SQL, on the smallest tables."""
 
+import subprocess
+import sys
+from pathlib import Path
+
 import duckdb
 import pytest
 
@@ -33,6 +37,11 @@ def test_every_query_has_sql():
     assert set(ORACLES) == set(QUERIES)
 
 
+def test_entry_points_need_no_session():
+    code = "import __spark_entry__ as e; assert e.queries().keys() >= e.oracle_sql().keys()"
+    subprocess.run([sys.executable, "-c", code], cwd=Path(__file__).parent.parent, check=True, timeout=120)
+
+
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_agrees_with_sql(spark, duck, name):
     df = QUERIES[name](spark, SMALL)
