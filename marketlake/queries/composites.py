@@ -174,11 +174,10 @@ def _(spark, sf):
 
 # --- gold: silver rows are partitioned by their own time here -----------------------
 def by_own_time(df, ts):
-    """Silver rows stored by the hour of their own time and read back, as gold loads find them."""
-    rows = df.withColumns(partition_parts(ts))
-    path = work_dir(df.sparkSession, "silver")
-    rows.write.partitionBy(*PARTITION_COLUMNS).parquet(path)
-    return df.sparkSession.read.schema(rows.schema).parquet(path)
+    """Silver rows with the hour of their own time, stored once: a load looks for the newest hour
+    first and then reads it, and neither makes the rows again. A month of small hours in one table,
+    so not a folder an hour."""
+    return durable(df.withColumns(partition_parts(ts)))
 
 
 def hour_parts(ts: str) -> str:
