@@ -14,6 +14,7 @@ from marketlake.runtime import durable
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
+PERCENT = 80  # of all different shingles of two texts, from which on they are near-duplicates
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -25,9 +26,10 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates, the one with the smallest id."""
+    """One document of each group of near-duplicates, the one with the smallest id; texts are linked
+    from ``PERCENT`` of their shingles in common on."""
     ready(spark)
-    return neardup.deduplicated(docs.select(*COLUMNS))
+    return neardup.deduplicated(docs.select(*COLUMNS), percent=PERCENT)
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -178,14 +178,15 @@ def train(
     max_pseudo: int = MAX_PSEUDO,
     sure: float = SURE,
 ) -> Model:
-    """Trains on at most ``max_labels`` labelled documents, those with the smallest hashes of
-    their ids, of which every fourth is held out for calibration, and in each round on about
+    """Trains on about ``max_labels`` labelled documents at most, those with the smallest hashes of
+    their ids (more labels are cut by a bound on the hash), of which every fourth is held out for calibration, and in each round on about
     ``max_pseudo`` pseudo-labels of each kind and view at most. Every other document is scored in
     every round; one is a candidate if a view gives it ``sure`` or more, and of more candidates
     those with the smallest hashes are taken.
 
     Several labels of an id count by their mean, from 0.5 on as good; null ids and labels are
-    left out. Without labels of both kinds the model is empty and finds every document good.
+    left out. Of several rows of a labelled id one is trained on, that with the least hash of its
+    views, so what is fetched grows with neither rows nor texts of an id. Without labels of both kinds the model is empty and finds every document good.
     Texts are read once; the views are written and joined with the bounded sample of labels by
     broadcast, so nothing is shuffled.
     """
@@ -198,7 +199,11 @@ def train(
     share = max_labels / max(known.count(), 1)
     known = durable(_smallest(known, order, share))
     rows = durable(_featured(docs, id, text)).join(F.broadcast(known), "_id", "left")
-    take = sorted(rows.where("_label IS NOT NULL").withColumn("_order", order).collect(), key=lambda r: (r["_order"], r["_id"], r["_text_view"]))
+    # one row of each labelled id, however many rows have it
+    labelled = rows.where("_label IS NOT NULL").withColumns({"_order": order, "_pick": F.xxhash64("_text_view", "_meta_view")})
+    least = labelled.groupBy("_id").agg(F.min("_pick").alias("_pick"))
+    take = labelled.join(F.broadcast(least), ["_id", "_pick"]).distinct().collect()
+    take.sort(key=lambda r: (r["_order"], r["_id"], r["_text_view"]))
     y = np.array([r["_label"] for r in take])
     if len(np.unique(y)) < 2:
         return Model(None, None, np.zeros(3))

@@ -382,9 +382,10 @@ def near_duplicates(df: DataFrame, id: str = "doc_id", text: str = "text", perce
 
 
 def deduplicated(df: DataFrame, id: str = "doc_id", text: str = "text", percent: int = PERCENT) -> DataFrame:
-    """The rows of ``df`` that ``near_duplicates`` keeps, with all their columns."""
+    """The rows of ``df`` that ``near_duplicates`` keeps, with all their columns, whatever their names."""
     stays = assigned(df, id, text, percent).where("kept").select("_id", "_mark").distinct()
-    marked = df.withColumn("_of", F.xxhash64(text))
+    of = max(len(c) for c in df.columns) * "_" + "of"  # longer than any name of df
+    marked = df.withColumn(of, F.xxhash64(text))
     return marked.join(
-        stays, marked[id].eqNullSafe(stays["_id"]) & (marked["_of"] == stays["_mark"]), "left_semi"
-    ).drop("_of")
+        stays, marked[id].eqNullSafe(stays["_id"]) & (marked[of] == stays["_mark"]), "left_semi"
+    ).drop(of)

@@ -46,6 +46,27 @@ def test_views_teach_each_other(llm):
     assert right(alone) < 0.6 and right(taught) > 0.95
 
 
+def test_a_labelled_id_on_most_rows_counts_once(llm):
+    """Many rows and texts of one labelled id change no model but by the one row that is taken."""
+    one = llm.range(300).select(
+        F.col("id").alias("doc_id"),
+        F.concat(F.when(F.col("id") % 2 == 0, F.lit("plain words of text ")).otherwise(F.lit("### $$$ %%% ")), F.col("id")).alias("text"),
+        F.lit("en").alias("lang"), F.lit("s").alias("source"), F.lit(100).cast("long").alias("n_chars"),
+    )
+    labels = one.where("doc_id < 80").select("doc_id", (1 - F.col("doc_id") % 2).cast("int").alias("quality"))
+    hot = one.where("doc_id = 6")
+    again = one.unionByName(hot.crossJoin(llm.range(3000).select()))
+
+    def scores(docs):
+        rows = cotraining.classified(one, cotraining.train(docs, labels, rounds=1)).select("doc_id", "score", "kept").collect()
+        return sorted(map(tuple, rows))
+
+    assert scores(again) == scores(one)
+    texts = hot.crossJoin(llm.range(2000).withColumnRenamed("id", "k")).withColumn("text", F.concat("text", F.lit(" "), "k")).drop("k")
+    kept = {i: k for i, _, k in scores(one.where("doc_id <> 6").unionByName(texts))}
+    assert sum(k == (i % 2 == 0) for i, k in kept.items()) >= 0.99 * len(kept)
+
+
 def test_odd_tables(llm, docs):
     odd = docs([None, "", "x", (3, "three words here"), (3, "three words here"), (None, "no id")])
     odd = odd.unionByName(odd.withColumns({"lang": F.lit(None).cast("string"), "source": F.lit(None).cast("string"), "n_chars": F.lit(None).cast("long")}))

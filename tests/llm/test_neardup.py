@@ -18,7 +18,7 @@ def shingles(text):
     return {tuple(words[i : i + 5]) for i in range(len(words) - 4)}
 
 
-def brute(rows):
+def brute(rows, percent=85):
     """component by row, from all pairs."""
     sets = [shingles(t) for _, t in rows]
     root = list(range(len(rows)))
@@ -31,7 +31,7 @@ def brute(rows):
     for i in range(len(rows)):
         for j in range(i):
             common = len(sets[i] & sets[j])
-            if sets[i] and sets[j] and 100 * common >= 85 * (len(sets[i]) + len(sets[j]) - common):
+            if sets[i] and sets[j] and 100 * common >= percent * (len(sets[i]) + len(sets[j]) - common):
                 root[find(i)] = find(j)
     groups = {}
     for i, (name, _) in enumerate(rows):
@@ -92,6 +92,16 @@ def test_no_rows(docs):
     assert [tuple(r) for r in neardup.near_duplicates(docs([None])).collect()] == [(0, 0, 0, True)]
 
 
+def test_clashing_names_and_other_thresholds(docs):
+    base = [f"w{i}" for i in range(104)]
+    rows = [(k, " ".join([*base[: 50 - k], f"x{k}", *base[51 - k :], *base[: 10 * k]])) for k in range(6)]
+    df = docs(rows).withColumnsRenamed({"lang": "_of", "source": "_id", "n_chars": "_mark"})
+    for percent in (50, 80, 95):
+        found = neardup.deduplicated(df, percent=percent)
+        assert found.columns == df.columns and {r["_of"] for r in found.collect()} == {"en"}
+        assert sorted(r["doc_id"] for r in found.collect()) == [i for i, _, _, kept in brute(rows, percent) if kept]
+
+
 def test_rounds_go_on_until_all_links_are_found(docs, monkeypatch):
     monkeypatch.setattr(neardup, "PIVOTS", 1)
     base = [f"w{i}" for i in range(400)]

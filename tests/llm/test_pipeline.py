@@ -11,7 +11,7 @@ from marketlake.llm import cotraining, queries
 from marketlake.llm.registry import table
 from marketlake.runtime import durable
 
-from .test_neardup import brute
+from .test_neardup import brute, shingles
 from .test_secrets import brute as base_spans
 
 SF = "/root/testdata/sf0.01"
@@ -48,7 +48,22 @@ def test_quality_rejects_junk_and_keeps_clean_documents(llm, steps):
 
 def test_one_of_each_group_stays(steps):
     rows = [(r["doc_id"], r["text"]) for r in steps[1].collect()]
-    assert ids(steps[2]) == sorted(i for i, _, _, kept in brute(rows) if kept)
+    assert ids(steps[2]) == sorted(i for i, _, _, kept in brute(rows, 80) if kept)
+
+
+def test_pairs_from_four_fifths_on_are_near_duplicates(llm, docs):
+    """100 shingles each; five of every changed word are lost on both sides."""
+    texts = []
+    for n in range(1, 7):
+        words = [f"d{n}w{i}" for i in range(104)]
+        texts.append(" ".join(words))
+        for k in range(n):
+            words[10 + 12 * k] = f"new{k}"
+        texts.append(" ".join(words[: 104 - n]))
+    likeness = [len(shingles(a) & shingles(b)) / len(shingles(a) | shingles(b)) for a, b in zip(texts[::2], texts[1::2], strict=True)]
+    assert any(0.8 <= x < 0.85 for x in likeness) and any(x < 0.8 for x in likeness)
+    left = ids(corpus_pipeline.near_duplicates(llm, docs(texts), SF))
+    assert left == sorted([*range(0, 12, 2), *(2 * k + 1 for k, x in enumerate(likeness) if x < 0.8)])
 
 
 def test_no_base_secret_is_left_and_the_rest_is_unchanged(steps):
