@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..runtime import durable
 from . import cotraining, secrets
 from .chat import TURNS, perspectives
 from .codes import compressed
@@ -15,7 +19,7 @@ from .packing import packed
 from .phrases import collocations
 from .pivots import simhash_duplicates
 from .registry import query, table
-from .rules import POLICIES, RULES, ledger, passes
+from .rules import POLICIES, RULES, ablation, ledger, passes
 from .spans import without_repeats
 
 # --- 3: chat formatting ---------------------------------------------------------
@@ -100,6 +104,23 @@ def rule_ledger(spark, sf_dir):
     )
 
 
+ABLATION_SQL = f"WITH led AS MATERIALIZED ({RULES_SQL}) " + " UNION ALL ".join(
+    f"SELECT '{version}' AS policy, '{r.name}' AS rule, count(*) FILTER (fail_bits & {1 << r.bit} <> 0) AS n_failed,"
+    f" count(*) FILTER (fail_bits & {policy.mask} = {1 << r.bit}) AS n_only FROM led"
+    for version, policy in POLICIES.items()
+    for r in RULES
+    if r.name in policy.rules
+)
+
+
+@query("rule_ablation", ABLATION_SQL)
+def rule_ablation(spark, sf_dir):
+    """What every rule of every policy does, from one stored ledger of all documents."""
+    entries = durable(ledger(table(spark, sf_dir, "documents"), keep=()).select("fail_bits"))
+    found = [ablation(entries, policy).select(F.lit(v).alias("policy"), "*") for v, policy in POLICIES.items()]
+    return reduce(DataFrame.union, found)
+
+
 # --- 9: mixing ----------------------------------------------------------------------
 MIX = {
     "source": Target(temper=0.7),

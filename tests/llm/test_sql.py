@@ -42,6 +42,15 @@ def test_rules_without_rows(same, docs):
     assert same("op5_rule_ledger", "documents", docs([])) == []
 
 
+def test_ablation(same, docs):
+    rows = same("rule_ablation", "documents", docs([*TEXTS, (3, "one"), (None, "z")]).withColumnsRenamed({"lang": "fail_bits"}))
+    assert {r["policy"] for r in rows} == set(rules.POLICIES) and sum(r["n_failed"] for r in rows) > 0
+
+
+def test_ablation_without_rows(same, docs):
+    assert {(r["n_failed"], r["n_only"]) for r in same("rule_ablation", "documents", docs([]))} == {(0, 0)}
+
+
 def test_policies_and_ablation(docs):
     entries = rules.ledger(docs(TEXTS))
     kept = {v: entries.where(rules.passes(p)).count() for v, p in rules.POLICIES.items()}
