@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..runtime import durable
 from .topk import top_k
 
 COPIES = 10_000  # of one row made by a task at a time
@@ -23,6 +24,23 @@ def dedup_keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -
     return top_k(df, keys, [F.col(c).asc() for c in [*order, *rest]], 1)
 
 
+def dedup_where_repeated(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """The rows of :func:`dedup_keep_first`, for long rows with few repeated keys.
+
+    A hash of the keys is counted first; only rows whose hash comes again are sorted and shuffled,
+    the others stay where they are. Keys that share a hash by chance are told apart like all others.
+    The hashes that come again, and the rows kept of these, are written at once: later passes over the
+    result read ``df`` once and sort nothing. Rows that stand alone move only if the hashes are
+    too many to broadcast.
+    """
+    marked = df.withColumn("_mark", F.xxhash64(*keys))
+    counted = marked.groupBy("_mark").agg(F.count(F.lit(1)).alias("_rows"))
+    again = durable(counted.where(F.col("_rows") > 1).select("_mark"))
+    alone = marked.join(again, "_mark", "left_anti").drop("_mark")
+    repeated = marked.join(again, "_mark", "left_semi").drop("_mark")
+    return alone.unionByName(durable(dedup_keep_first(repeated, keys, order)))
+
+
 def duplicate_report(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """All rows but the first of every key, each with the size of its key.
 

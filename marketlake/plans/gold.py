@@ -23,6 +23,9 @@ from ..operators.keys import surrogate_key
 from ..runtime import durable
 from ..schemas import GOLD
 
+# Publication time alone is not unique; url and title make the order total.
+NEWS_ORDER = ("published", "url", "title")
+
 
 def _declared(df: DataFrame, table: str) -> DataFrame:
     return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in GOLD[table]])
@@ -36,10 +39,12 @@ def news_to_gold(
     silver: DataFrame, topic: DataFrame, max_id: int = 0, one_hour: bool = False
 ) -> DataFrame:
     """The newest hour of news: ids after ``max_id`` in order of publication, topic and date keys."""
-    newest = _hour(silver, one_hour)
-    # Publication time alone is not unique; url and title make the order total.
-    keyed = surrogate_key(newest, ["published", "url", "title"], max_id)
-    dated = keyed.withColumn("timestamp_id", date_key("published"))
+    return numbered_news_to_gold(surrogate_key(_hour(silver, one_hour), NEWS_ORDER, max_id), topic)
+
+
+def numbered_news_to_gold(numbered: DataFrame, topic: DataFrame) -> DataFrame:
+    """News that have their ids, with topic and date keys."""
+    dated = numbered.withColumn("timestamp_id", date_key("published"))
     return _declared(join_topic_dim(dated, topic).drop("tag"), "dim_news")
 
 

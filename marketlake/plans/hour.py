@@ -8,11 +8,12 @@ order, and no id is given twice.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..operators.dims import new_authors
 from ..operators.filters import RECENT_HOURS
@@ -23,7 +24,7 @@ from ..sinks.files import topic_json_write
 from ..sinks.tables import missing_rows, silver_append
 from ..sources.raw import json_topic_decode, raw_json_read, raw_json_rejects
 from ..sources.tables import parquet_or_empty
-from .gold import comments_to_gold, news_to_gold, realtime_to_gold, statistic_to_gold
+from .gold import NEWS_ORDER, comments_to_gold, numbered_news_to_gold, realtime_to_gold, statistic_to_gold
 from .ledger import Ledger
 from .quality_jobs import Checked, comments_quality, news_quality, realtime_quality, stat_sent_quality
 
@@ -66,7 +67,7 @@ class Hour:
     def to_silver(self, entity: str, checked: Checked) -> tuple[DataFrame, DataFrame]:
         """Clean records through the topic to the silver rows of this hour; also the messages that
         could not be read. Both, and the rejected records, are stored."""
-        topic_json_write(checked.clean, "text", {"path": self.own("topic", entity)}, mode="overwrite")
+        topic_json_write(checked.clean, "text", {"path": self.own("topic", entity), "compression": "gzip"}, mode="overwrite")
         messages = self.spark.read.schema("value string").text(self.own("topic", entity))
         good, undecoded = json_topic_decode(messages, checked.clean.schema)
         silver_append(good, entity, self.root, self.at, self.number)
@@ -88,11 +89,31 @@ class Hour:
     ) -> DataFrame:
         """Replaces this hour of a gold table by what ``make`` makes of the silver rows and the last
         id before them. With ``key``, rows whose key an hour near by holds stay out."""
-        fresh = durable(missing_rows(silver, self.near(table, key, look_back), [key]) if key else silver)
+        fresh = durable(missing_rows(silver, self.near(table, key, look_back), [key])) if key else silver
         n = fresh.count()
         first = Ledger(self.spark, self.root, table).reserve(self.number, n, start)
-        rows = make(fresh, first - 1) if n else self.spark.createDataFrame([], GOLD[table])
-        rows.write.mode("overwrite").partitionBy(*PARTITIONED_BY[f"gold.{table}"]).parquet(self.own("gold", table))
+        return self.replaced(table, make(fresh, first - 1) if n else self.spark.createDataFrame([], GOLD[table]))
+
+    def to_numbered_gold(
+        self, table: str, silver: DataFrame, make: Callable[[DataFrame], DataFrame], key: str, order: Sequence[str],
+        look_back: int = LOOK_BACK, start: int = 0,
+    ) -> DataFrame:
+        """As ``to_gold`` for rows that hold every ``key`` once and get their ``id`` in ``order``: what is
+        compared, sorted and numbered are the keys alone, and the rows with their texts move once,
+        to meet their ids."""
+        keys = silver.select(*dict.fromkeys([key, *order]))
+        fresh = durable(missing_rows(keys, self.near(table, key, look_back), [key]))
+        n = fresh.count()
+        first = Ledger(self.spark, self.root, table).reserve(self.number, n, start)
+        if not n:
+            return self.replaced(table, self.spark.createDataFrame([], GOLD[table]))
+        ids = durable(surrogate_key(fresh, order, first - 1).select(F.col(key).alias("_key"), "id"))
+        return self.replaced(table, make(silver.join(ids, F.col(key).eqNullSafe(F.col("_key"))).drop("_key")))
+
+    def replaced(self, table: str, rows: DataFrame) -> DataFrame:
+        """This hour of a gold table, once it holds ``rows`` and nothing else."""
+        writer = rows.write.mode("overwrite").option("compression", "zstd")
+        writer.partitionBy(*PARTITIONED_BY[f"gold.{table}"]).parquet(self.own("gold", table))
         return parquet_or_empty(self.spark, self.own("gold", table), GOLD[table])
 
 
@@ -110,7 +131,7 @@ def news_hour(
     own, raw_root = Hour(spark, root, hour), f"{root.rstrip('/')}/raw"
     checked = news_quality(raw_json_read(spark, raw_root, "news", hour))
     silver, undecoded = own.to_silver("news", checked)
-    rows = own.to_gold("dim_news", silver, lambda df, last: news_to_gold(df, topic, last, True), "url", look_back, max_id)
+    rows = own.to_numbered_gold("dim_news", silver, lambda df: numbered_news_to_gold(df, topic), "url", NEWS_ORDER, look_back, max_id)
     broken = raw_json_rejects(spark, raw_root, "news", hour)
     return HourResult(rows, own.path("gold", "dim_news"), broken, checked.rejected, undecoded)
 

@@ -6,7 +6,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 
-from ..operators.dedup import dedup_keep_first, duplicate_report
+from ..operators.dedup import dedup_keep_first, dedup_where_repeated, duplicate_report
 from ..operators.filters import (
     as_instant,
     cast_columns,
@@ -64,9 +64,10 @@ class Checked:
 
 
 def news_quality(raw: DataFrame, contract: Contract = NEWS_CONTRACT) -> Checked:
-    """Rows with text and date, the smallest title of every url, one author column."""
+    """Rows with text and date, the smallest title of every url, one author column. Few urls come
+    again, so texts stay where they are but for those."""
     filled = one_author(nonblank_filter(raw, ["text", "published"]))
-    unique = dedup_keep_first(filled, ["url"], ["title"])
+    unique = dedup_where_repeated(filled, ["url"], ["title"])
     clean, rejected = schema_contract_check(unique, contract)
     return Checked(clean, rejected, raw, filled, unique, "url", "title", "published")
 

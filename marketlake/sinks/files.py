@@ -16,13 +16,13 @@ def raw_landing_write(
     """Append rows to the hour folder of their entity; Spark names the files uniquely.
 
     A numbered ``batch`` of a stream lands in a folder of its own below the hour, which it
-    replaces when it comes again.
+    replaces when it comes again. Files are compressed, as every later run of the hour reads them again.
     """
     folder = hour_folder(root, entity, as_of)
     if batch is None:
-        df.write.mode("append").json(folder)
+        df.write.mode("append").json(folder, compression="gzip")
     else:
-        df.write.mode("overwrite").json(f"{folder}/batch-{batch}")
+        df.write.mode("overwrite").json(f"{folder}/batch-{batch}", compression="gzip")
     return folder
 
 

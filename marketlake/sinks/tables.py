@@ -43,7 +43,7 @@ def silver_append(
     when it comes again; a table takes numbered batches or plain ones, not both.
     """
     path = f"{root.rstrip('/')}/silver/{entity}"
-    rows = to_silver(df, entity, as_of).write.partitionBy(*PARTITIONED_BY[f"silver.{entity}"])
+    rows = to_silver(df, entity, as_of).write.option("compression", "zstd").partitionBy(*PARTITIONED_BY[f"silver.{entity}"])
     if batch is None:
         rows.mode("append").parquet(path)
     else:

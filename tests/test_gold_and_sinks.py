@@ -1,12 +1,15 @@
 """Keys, dimensions, gold plans and sinks."""
 
+import os
+import uuid
 from datetime import datetime
 
 import pytest
 from pyspark.sql import functions as F
 
+from marketlake import runtime
 from marketlake.operators import dims, joins, keys
-from marketlake.plans import gold
+from marketlake.plans import gold, hour
 from marketlake.plans.silver import to_silver
 from marketlake.runtime import durable, work_dir
 from marketlake.schemas import GOLD, RAW, SILVER
@@ -100,6 +103,21 @@ def test_landing_and_messages(spark):
     assert message.startswith('{"subreddit":"bitcoin"')
 
 
+def test_an_hour_of_news_makes_no_working_copy_of_its_texts(spark, monkeypatch, tmp_path):
+    monkeypatch.setattr(runtime, "work_dir", lambda _, purpose: f"{tmp_path}/work/{purpose}-{uuid.uuid4().hex}")
+    root, at = f"{tmp_path}/root", datetime(2024, 1, 1, 5)
+    text = "word " * 200
+    rows = [(f"https://a.example/{i % 38}", f"t{i:02}", f"{text}{i}", f"2024-01-01T04:{i:02}:00Z") for i in range(40)]
+    df = spark.createDataFrame(rows, "url string, title string, text string, published string")
+    files.raw_landing_write(df.selectExpr("*", "'d' AS domain", "'s' AS source", "'economy' AS tag", "'a' AS author"), f"{root}/raw", "news", at)
+    for _ in range(2):
+        hour.news_hour(spark, root, at, dims.dim_topic(spark))
+    stored = hour.gold_table(spark, root, "dim_news").orderBy("id").collect()
+    assert [(r["id"], r["title"]) for r in stored] == [(i + 1, f"t{i:02}") for i in range(38)]
+    copies = [spark.read.parquet(f"{tmp_path}/work/{d}") for d in os.listdir(f"{tmp_path}/work")]
+    assert sum(t.count() for t in copies if "text" in t.columns) == 4  # the kept rows of two repeated urls, twice
+
+
 def test_created_tables_take_rows(spark):
     root = work_dir(spark, "lake")
     names = tables.lakehouse_ddl(spark, root, "t1_")

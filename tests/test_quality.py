@@ -31,6 +31,15 @@ def test_first_title_is_kept_and_null_is_one_key(spark):
     assert left == [("u", "b", 2), ("v", "c", 2), (None, "y", 2)]
 
 
+def test_few_repeated_keys_give_the_same_rows(spark):
+    rows = [("u", "b", 1), ("u", "a", 2), ("u", "a", 1), (None, "y", 1), (None, "x", 2), ("v", None, 3), ("v", None, 3), ("w", "t", 4)]
+    df = spark.createDataFrame([*rows, *[(f"k{i}", "t", i) for i in range(200)]], "url string, title string, n int")
+    kept, same = (f(df, ["url"], ["title"]) for f in (dedup.dedup_where_repeated, dedup.dedup_keep_first))
+    assert kept.columns == same.columns
+    assert sorted(map(tuple, kept.collect()), key=str) == sorted(map(tuple, same.collect()), key=str)
+    assert dedup.dedup_where_repeated(df.limit(0), ["url"], ["title"]).collect() == []
+
+
 @pytest.mark.parametrize("copies", [1, 5, 1000])
 def test_kept_and_left_out_rows_make_the_table(spark, copies):
     """One key holds a third of all rows, as equal and as different rows."""
