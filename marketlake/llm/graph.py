@@ -10,7 +10,7 @@ from ..runtime import durable
 
 def _stars(edges: DataFrame, large: bool) -> DataFrame:
     """Hangs neighbours under the smallest one they see: the larger ones under it (``large``), or
-    the smaller ones and the node itself."""
+    the smaller ones and the node itself. Large stars may repeat an edge, small ones repeat none."""
     if large:
         seen = edges.select("u", "v").union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
     else:
@@ -20,10 +20,10 @@ def _stars(edges: DataFrame, large: bool) -> DataFrame:
     joined = seen.join(least, seen["u"] == least["n"])
     if large:
         out = joined.where(F.col("v") > F.col("u")).select(F.col("v").alias("u"), F.col("m").alias("v"))
-    else:
-        out = joined.select(F.col("v").alias("u"), F.col("m").alias("v")).union(
-            least.select(F.col("n").alias("u"), F.col("m").alias("v"))
-        )
+        return out.where(F.col("u") != F.col("v"))
+    out = joined.select(F.col("v").alias("u"), F.col("m").alias("v")).union(
+        least.select(F.col("n").alias("u"), F.col("m").alias("v"))
+    )
     return out.where(F.col("u") != F.col("v")).distinct()
 
 
@@ -35,7 +35,7 @@ def components(links: DataFrame) -> DataFrame:
     executor costs one step. The least neighbour of a node is found before rows meet, and the
     join back lets Spark split the node with most neighbours.
     """
-    edges = durable(links.select("u", "v").where(F.col("u") != F.col("v")).distinct())
+    edges = durable(links.select("u", "v").where(F.col("u") != F.col("v")))
     while True:
         edges = durable(_stars(_stars(edges, True), False))
         ends = edges.select(F.col("u").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down")).union(

@@ -175,7 +175,8 @@ def _verified(pairs: DataFrame, classes: DataFrame, texts: DataFrame, percent: i
     """Those of ``pairs`` that reach the similarity on their full shingle sets."""
     found = durable(_texts(pairs.select(F.col("a").alias("rep")).union(pairs.select("b")), classes, texts))
     side = lambda s: found.select(F.col("rep").alias(s), F.col("_text").alias(f"text_{s}"))
-    both = pairs.join(side("a"), "a").join(side("b"), "b")
+    # the best of a bucket has many partners: its join may be split before any text is cut up
+    both = pairs.join(side("b"), "b").join(side("a"), "a")
 
     def confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: OrderedDict[int, np.ndarray] = OrderedDict()  # few: a class often has many partners
@@ -297,12 +298,13 @@ def linked(df: DataFrame, sketches: Sketches, id: str, text: str, percent: int =
     # Written, so that the join shuffles both sides anew: only then Spark may split a large bucket.
     sizes = durable(bands.groupBy("key").agg(F.count("*").alias("of")).where("of > 1"))
     members = durable(bands.join(sizes, "key"))
-    central = members.groupBy("rep").agg(F.sum("of").alias("weight"))
-    weighed = members.select("key", "rep").join(central, "rep")
+    weight = F.sum("of").over(Window.partitionBy("rep"))  # of the few buckets of a class
+    weighed = members.select("key", "rep", weight.alias("weight"))
     best = durable(
         weighed.groupBy("key").agg(F.max(F.struct("weight", "rep")).alias("top")).select("key", F.col("top.rep").alias("best"))
     )
-    pairs = members.join(best, "key").where("rep <> best").select(F.col("rep").alias("a"), F.col("best").alias("b")).distinct()
+    pairs = members.join(best, "key").where("rep <> best").select(F.col("rep").alias("a"), F.col("best").alias("b"))
+    pairs = pairs.repartition("a").distinct()  # where they meet the sketches of a next
     likely = durable(_likely(pairs, classes, percent))
     links = durable(_verified(likely, classes, texts, percent))
     # the best of each bucket has met all others

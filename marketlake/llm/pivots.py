@@ -214,7 +214,7 @@ def links(classes: DataFrame) -> DataFrame:
             for c in ("low", "high")
         ]
         found.append(durable(stars[0].union(stars[1]).distinct()))
-        parts = components(_union(found))
+        parts = components(_union(found).distinct())
         wide = members.where("n > 3").select("key", "pair", "fp", "n")
         placed = wide.join(parts.withColumnRenamed("node", "fp"), "fp", "left")
         placed = durable(placed.select("key", "pair", "fp", "n", F.coalesce("component", "fp").alias("comp")))
@@ -254,7 +254,7 @@ def simhash_duplicates(df: DataFrame, id: str = "doc_id", text: str = "text") ->
     own = df.select(F.col(id).alias("id"), F.col(text).alias("text"))
     marked = durable(add_columns(own, "fp long", prints, drop=("text",)))
     classes = durable(marked.groupBy("fp").agg(F.min("id").alias("least")))
-    parts = durable(components(links(classes)))
+    parts = durable(components(links(classes).distinct()))
     placed = classes.join(parts.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("component", "fp"))
     placed = durable(placed.select("fp", "least", "root"))
     least = durable(placed.groupBy("root").agg(F.min("least").alias("component_id")))

@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 
 from marketlake.llm import neardup
-from marketlake.llm.graph import components
+from marketlake.llm.graph import _stars, components
 from marketlake.llm.shingles import mix
 
 
@@ -143,3 +143,11 @@ def test_components(llm):
         **dict.fromkeys(range(31), 0), **dict.fromkeys(range(100, 104), 100), **dict.fromkeys(range(200, 250), 200)
     }
     assert components(llm.createDataFrame([], "u long, v long")).collect() == []
+
+
+def test_repeated_links_cost_no_shuffle_of_their_own(llm):
+    edges = [(1, 2), (2, 1), (1, 2), (3, 2), (3, 2), (9, 8), (5, 5)] * 3
+    links = llm.createDataFrame(edges, "u long, v long")
+    assert {(r["node"], r["component"]) for r in components(links).collect()} == {(1, 1), (2, 1), (3, 1), (8, 8), (9, 8)}
+    plan = _stars(links, True)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Aggregate") == 1, plan  # the least neighbour alone
