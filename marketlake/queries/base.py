@@ -12,7 +12,7 @@ from ..functions.times import ISO_SECONDS
 from ..operators.bars import INTERVALS, kline_resample
 from ..operators.keys import surrogate_key
 from ..operators.slices import Series
-from ..runtime import prepare
+from ..runtime import prepare, work_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -53,6 +53,14 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def landed(spark: SparkSession, df: DataFrame, files: int) -> tuple[str, int]:
+    """A folder with the rows in ``files`` files, or in as many as tasks read them if these are more,
+    so that no file grows with the table; and how many there are."""
+    path, files = work_dir(spark, "landing"), max(files, df.rdd.getNumPartitions())
+    df.repartition(files).write.parquet(path)
+    return path, files
+
+
 def r6(df: DataFrame, *names: str) -> DataFrame:
     """Six decimals: sums of doubles may differ in the last digits between engines."""
     return df.withColumns({n: F.round(n, 6) + F.lit(0.0) for n in names})

@@ -28,6 +28,7 @@ from .base import (
     candles_sql,
     coins,
     comments,
+    landed,
     news,
     query,
     r6,
@@ -118,9 +119,9 @@ def _(spark, sf):
 @query("observed_batches", " UNION ALL ".join([counts_sql("raw", NEWS_SQL, NEWS_COLUMNS, NEWS_RULES_SQL[:-1]), checked_sql(NEWS_SQL)]))
 def _(spark, sf):
     """News as a stream: every micro-batch is written with its counts, which add up."""
-    rows, path, out = news(spark, sf), work_dir(spark, "landing"), work_dir(spark, "watched")
-    rows.repartition(4).write.parquet(path)
-    stream = batches.new_file_pickup(spark, path, rows.schema, files_per_batch=2)
+    rows, out = news(spark, sf), work_dir(spark, "watched")
+    path, files = landed(spark, rows, 4)
+    stream = batches.new_file_pickup(spark, path, rows.schema, files_per_batch=files // 2)
     write = watched.watched_batches(out, news_rules()[:-1], NEWS_CONTRACT)
     batches.drain_available(stream, write, work_dir(spark, "checkpoint"))
     return watched.batch_reports(spark, out)

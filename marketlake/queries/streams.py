@@ -12,7 +12,7 @@ from ..operators.filters import RECENT_HOURS
 from ..operators.slices import Series
 from ..runtime import durable, work_dir
 from ..streaming import batches, operators, spool, stateful
-from .base import HOURS, bars, bars_sql, candles_sql, load, query, ticks
+from .base import HOURS, bars, bars_sql, candles_sql, landed, load, query, ticks
 
 EVENTS = "event_id, ts, event_type, value"
 
@@ -21,13 +21,6 @@ def _events(spark, sf):
     return load(spark, sf, "events").select("event_id", "ts", "event_type", "value")
 
 
-def landed(spark, df, files):
-    """A folder with the rows in some files."""
-    path = work_dir(spark, "landing")
-    df.repartition(files).write.parquet(path)
-    return path
-
-
 def drained(spark, stream, checkpoint=None):
     """All rows a stream gives, through a keyed sink."""
     out = work_dir(spark, "out")
@@ -40,7 +33,8 @@ def drained(spark, stream, checkpoint=None):
 def _(spark, sf):
     """A running query over all files, stopped when nothing is left."""
     rows = _events(spark, sf)
-    stream = batches.new_file_pickup(spark, landed(spark, rows, 4), rows.schema, files_per_batch=2)
+    path, files = landed(spark, rows, 4)
+    stream = batches.new_file_pickup(spark, path, rows.schema, files_per_batch=files // 2)
     out = work_dir(spark, "out")
     running = batches.stream_micro_batch(
         stream, batches.keyed_append(out), work_dir(spark, "checkpoint"), "0 seconds"
@@ -55,8 +49,8 @@ def _(spark, sf):
 @query("drain_available", f"SELECT {EVENTS} FROM events")
 def _(spark, sf):
     rows = _events(spark, sf)
-    path = landed(spark, rows, 4)
-    return drained(spark, batches.new_file_pickup(spark, path, rows.schema, files_per_batch=2))
+    path, files = landed(spark, rows, 4)
+    return drained(spark, batches.new_file_pickup(spark, path, rows.schema, files_per_batch=files // 2))
 
 
 SPLIT = "TIMESTAMP '2024-01-16 00:00:00'"
@@ -125,7 +119,7 @@ def _(spark, sf):
         FROM ({candles_sql("1h")}) GROUP BY symbol)""")
 def _(spark, sf):
     rows = bars(spark, sf, "1h").select("event_id", "symbol", "endtime", "close")
-    stream = batches.new_file_pickup(spark, landed(spark, rows, 4), rows.schema)
+    stream = batches.new_file_pickup(spark, landed(spark, rows, 4)[0], rows.schema)
     out = work_dir(spark, "out")
     held = operators.stream_max_24h(stream, Series(slice_seconds=HOURS.slice_seconds))
     writer = held.writeStream.outputMode("update").foreachBatch(batches.keyed_append(out))
@@ -145,7 +139,7 @@ def _(spark, sf):
 def _(spark, sf):
     """All hour bars: the input ends, so a closing tick lets the watermark pass the last ones."""
     rows = ticks(spark, sf).withColumn("ts", F.col("ts").cast("timestamp"))
-    path = landed(spark, rows, 4)
+    path, _ = landed(spark, rows, 4)
     bars, checkpoint, given = operators.stream_bars, work_dir(spark, "checkpoint"), []
     for last in (False, True):
         if last:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from marketlake.operators import stats24h
 from marketlake.operators.slices import Series
+from marketlake.queries.base import landed
 from marketlake.runtime import work_dir
 from marketlake.sources.raw import json_topic_decode
 from marketlake.schemas import table
@@ -30,6 +31,13 @@ def run(stream, out, checkpoint, mode="append"):
     query.awaitTermination()
 
 
+def test_landed_files_grow_in_number_not_in_size(spark):
+    for tasks, files in ((1, 4), (9, 9)):
+        path, n = landed(spark, spark.range(0, 900, 1, tasks), 4)
+        found = spark.read.parquet(path).groupBy(F.input_file_name()).count().collect()
+        assert n == files == len(found) and max(r["count"] for r in found) <= 1.1 * 900 / files
+
+
 def test_a_batch_delivered_twice_is_stored_once(spark):
     out = work_dir(spark, "out")
     write = batches.keyed_append(out)
