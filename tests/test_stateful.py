@@ -209,3 +209,37 @@ def test_one_scan_for_rows_and_counts(spark):
         watch.rows(df, "raw")
     with pytest.raises(ValueError):
         Watch().rows(df, "x", rules=[rules.unique_column("url")])
+
+
+def test_open_bars_cost_one_write_and_one_timer_a_batch():
+    import pandas as pd
+
+    calls, timers, kept = [], [], []
+
+    class Listed:
+        exists = staticmethod(lambda: bool(kept))
+        get = staticmethod(lambda: iter(kept))
+
+        def put(self, rows):
+            calls.append("put")
+            kept[:] = rows
+
+        def clear(self):
+            kept.clear()
+
+    class Handle:
+        getListState = staticmethod(lambda name, schema: Listed())
+        registerTimer = staticmethod(timers.append)
+
+    class At:
+        getExpiryTimeInMs = getCurrentWatermarkInMs = staticmethod(lambda: 600_000)
+
+    roll = stateful.Rollup([("5m", 300), ("1h", 3600)], "decimal(38,4)")
+    roll.init(Handle())
+    start = pd.to_datetime([60 * i for i in range(60)], unit="s", utc=True)
+    bars = pd.DataFrame({"event_id": [str(i) for i in range(60)], "symbol": "s", "interval": "1m", "starttime": start, "endtime": start})
+    told = list(roll.handleInputRows(("s", 0), iter([bars.assign(**dict.fromkeys(roll.NUMBERS, 1))]), At()))
+    assert len(told[0]) == 60 and calls == ["put"] and timers == [300_000]
+    over = list(roll.handleExpiredTimer(("s", 0), At(), At()))
+    assert [tuple(r) for r in over[0][["event_id", "volume"]].itertuples(index=False)] == [(4, 5), (9, 5)]
+    assert timers == [300_000, 900_000] and len(kept) == 11
