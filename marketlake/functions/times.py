@@ -3,26 +3,22 @@
 from __future__ import annotations
 
 from datetime import datetime
+from string import ascii_letters
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # The date patterns that feeds and typed messages use.
 ISO_SECONDS = "yyyy-MM-dd'T'HH:mm:ss'Z'"
-# Mail style dates without their day name (Spark does not parse day names).
-MAIL_ZONE_NAME = "d MMM yyyy HH:mm:ss z"
-MAIL_OFFSET = "d MMM yyyy HH:mm:ss Z"
-MAIL_PLAIN = "d MMM yyyy HH:mm:ss"
+# Mail style dates without their day name (Spark does not parse day names): seconds and zone may be left out.
+MAIL = "d MMM yyyy HH:mm[:ss][ Z][ z]"
 
 # What a text must look like to be tried. A pattern that fails costs an exception
 # inside Spark, a look at the shape does not.
-ISO_SHAPE = r"^\d{4}-\d\d-\d\d([T ]\d\d:\d\d(:\d\d(\.\d{1,9})?)?( ?Z| ?[+-]\d\d(:?\d\d)?| UTC| GMT)?)?$"
-_MAIL = r"^\d{1,2} [A-Za-z]{3} \d{4} \d\d:\d\d:\d\d"
-MAIL_SHAPES = (
-    (_MAIL + r" [A-Za-z]+$", MAIL_ZONE_NAME),
-    (_MAIL + r" [+-]\d{4}$", MAIL_OFFSET),
-    (_MAIL + "$", MAIL_PLAIN),
-)
+ISO_SHAPE = r"^\d{4}-\d\d-\d\d([T ]\d\d:\d\d(:\d\d(\.\d{1,9})?( ?Z| ?[+-]\d\d(:?\d\d)?| UTC| GMT)?)?)?$"
+MAIL_SHAPE = r"^([A-Za-z]{3,9},? +)?\d{1,2} [A-Za-z]{3} \d{4} \d\d:\d\d(:\d\d)?( [A-Za-z]+| [+-]\d{4})?$"
+# What may stand before the day of the month.
+DAY_NAME_CHARS = ascii_letters + ", "
 
 # Numbers above this bound are epoch milliseconds, others epoch seconds.
 EPOCH_MILLIS_BOUND = 1e12
@@ -37,11 +33,10 @@ def instant(as_of: datetime | str) -> Column:
     return F.lit(as_of).cast("timestamp")
 
 
-def _iso(text: Column) -> Column:
-    """An ISO text by the built-in cast, which knows any number of decimals and ``+hh:mm``."""
-    timed = F.regexp_replace(text, r"^(\d{4}-\d\d-\d\d[T ]\d\d:\d\d)(?!:)", "$1:00")
-    zoned = F.regexp_replace(timed, r"(:\d\d(?:\.\d+)?) ?([+-]\d\d):?(\d\d)?$", "$1$2:$3")
-    return F.regexp_replace(zoned, r"([+-]\d\d:)$", "$100").try_cast("timestamp")
+def _with_seconds(text: Column) -> Column:
+    """``:00`` between the minutes and the zone of an ISO text; the built-in cast needs it there."""
+    zone_after_minutes = (F.locate("-", text) == 5) & F.substring(text, 17, 1).isin(" ", "Z", "+", "-")
+    return F.when(zone_after_minutes, F.overlay(text, F.lit(":00"), 17, 0)).otherwise(text)
 
 
 def parse_timestamp(text: Column | str) -> Column:
@@ -51,17 +46,11 @@ def parse_timestamp(text: Column | str) -> Column:
     ``+hh:mm`` or no zone, and mail dates with or without day name, seconds and zone. Without
     a zone the session's zone is meant, UTC in this package.
     """
-    trimmed = F.trim(column(text))
-    iso = F.when(trimmed.rlike(ISO_SHAPE), _iso(trimmed))
-    mail = F.when(
-        trimmed.rlike("^([A-Za-z]{3,9},? +)?[0-9]{1,2} [A-Za-z]{3} "),
-        F.regexp_replace(trimmed, r"^[A-Za-z]{3,9},? +", ""),
+    said = _with_seconds(F.trim(column(text)))
+    mail = F.ltrim(said, F.lit(DAY_NAME_CHARS))
+    return F.when(said.rlike(ISO_SHAPE), said.try_cast("timestamp")).when(
+        said.rlike(MAIL_SHAPE), F.try_to_timestamp(mail, F.lit(MAIL))
     )
-    mail = F.regexp_replace(mail, r"^(\d{1,2} [A-Za-z]{3} \d{4} \d\d:\d\d)( |$)", "$1:00$2")
-    parsed = F.lit(None).cast("timestamp")
-    for shape, pattern in reversed(MAIL_SHAPES):
-        parsed = F.when(mail.rlike(shape), F.try_to_timestamp(mail, F.lit(pattern))).otherwise(parsed)
-    return F.coalesce(iso, parsed)
 
 
 def unreadable_date(text: Column | str) -> Column:

@@ -1,6 +1,7 @@
 """Payloads, pages, paths and times on hand-made input."""
 
 import json
+import re
 from datetime import datetime
 
 from pyspark.sql import functions as F
@@ -79,6 +80,25 @@ def test_dates_in_all_notations(spark):
         assert rows[text_].t is None and rows[text_].u == bool(text_)
 
 
+def test_dates_keep_their_notations(spark):
+    noon = datetime(2024, 1, 1, 12)
+    same = ("2024-01-01T12:00 +00", "2024-01-01 19:00+0700", "2024-01-01T04:30-07:30", "2024-01-01 12:00 UTC", "2024-01-01T12:00:00 GMT",
+            "1 Jan 2024 07:00 EST", "Monday, 01 jan 2024 19:00 +0700", "Mon 1 Jan 2024 12:00:00 Z")
+    none = ("2024-01-01T12:00X", "2024-01-01+07:00", "2024-01-01 12:00:00:00", "-024-01-01T12:00Z", "1 Jan 2024 12:00 +07:00", "1 Jan 2024", "Mo, 1 Jan 2024 12:00",
+            "31 Feb 2024 12:00 GMT", "1 Jan 2024 12:00 QQQ", "Mon, , 1 Jan 2024 12:00")
+    df = spark.createDataFrame([(x,) for x in same + none], "v string")
+    rows = {r.v: r.t for r in df.select("v", times.parse_timestamp("v").alias("t")).collect()}
+    assert rows == dict.fromkeys(same, noon) | dict.fromkeys(none)
+
+
+def test_dates_in_many_columns_are_compiled(spark, capsys):
+    # Spark gives up on a method of 64 KB (-1), the machine's compiler on one of 8,000 bytes
+    texts = spark.range(1).select(*[F.concat(F.lit(n), F.col("id").cast("string")).alias(n) for n in "abcdefghijklmn"])
+    texts.select(*[times.parse_timestamp(n).cast("timestamp_ntz").alias(n) for n in texts.columns]).explain("codegen")
+    sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(-?\d+)", capsys.readouterr().out)]
+    assert sizes and all(0 < n < 8000 for n in sizes)
+
+
 def test_texts_are_no_numbers_in_a_contract(spark):
     from marketlake.schemas import Contract
     from marketlake.sources.contracts import schema_contract_check
