@@ -6,6 +6,7 @@ from pathlib import Path
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 from marketlake.queries import ORACLES, QUERIES
 
@@ -55,3 +56,11 @@ def test_query_agrees_with_sql(spark, duck, name):
     places = [names.index(c) for c in columns]
     expected = [tuple(row[i] for i in places) for row in result.fetchall()]
     assert in_order(found) == in_order(expected)
+
+
+def test_date_texts_of_one_row_group_are_parsed_by_several_tasks(spark, tmp_path):
+    at = F.timestamp_seconds(F.col("id") * 7).cast("timestamp_ntz").alias("ts")
+    rows = spark.range(400_000).select(F.col("id").alias("event_id"), at, F.md5(F.col("id").cast("string")).alias("props"))
+    rows.coalesce(1).write.parquet(str(tmp_path / "events.parquet"))
+    parsed = QUERIES["parse_timestamp"](spark, str(tmp_path))
+    assert parsed.select(F.spark_partition_id()).distinct().count() > 1
